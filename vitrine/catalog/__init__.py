@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrine.catalog import marts
+from vitrine.catalog import loading, marts, parsing, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = [marts]
+_MODULES = [marts, parsing, loading, reports]
 
 
 def _with_doubles(query: Query) -> Query:

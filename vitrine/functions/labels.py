@@ -99,13 +99,13 @@ def shorten(text: Column, limit: int) -> Column:
 
 def brl(amount: Column) -> Column:
     """Money as pt-BR text: 1234.5 -> ``R$ 1.234,50``; NULL -> ``R$ —``."""
-    swapped = F.translate(F.format_number(amount, 2), ",.", ".,")
+    swapped = F.translate(F.format_number(amount.cast("double"), 2), ",.", ".,")
     return F.coalesce(F.concat(F.lit("R$ "), swapped), F.lit("R$ —"))
 
 
 def pct_text(value: Column) -> Column:
     """Percentage as pt-BR text with one digit: 12.34 -> ``12,3%``; NULL -> ``—%``."""
-    plain = F.translate(F.replace(F.format_number(value, 1), F.lit(","), F.lit("")), ".", ",")
+    plain = F.translate(F.replace(F.format_number(value.cast("double"), 1), F.lit(","), F.lit("")), ".", ",")
     return F.concat(F.coalesce(plain, F.lit("—")), F.lit("%"))
 
 

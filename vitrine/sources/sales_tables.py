@@ -35,7 +35,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _lines(spark: SparkSession, folder: str) -> DataFrame:
+def observed_lines(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").withColumns({"cents": F.expr(_CENTS), "pct": F.expr(_PCT)})
 
 
@@ -100,7 +100,7 @@ _ALL = {**_FROM_LINE, **_FROM_PART}
 def observations(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """Clean observations, live and history together; all columns unless some are named."""
     names = columns or tuple(_ALL)
-    lines = _lines(spark, folder)
+    lines = observed_lines(spark, folder)
     if any(name in _FROM_PART for name in names):
         lines = _with_part(lines, spark, folder)
     return lines.select(*[_ALL[name]().alias(name) for name in names])
@@ -168,7 +168,7 @@ def raw_products(spark: SparkSession, folder: str) -> DataFrame:
         "num_offers": F.when(line != 4, line),
         "raw_payload": F.concat(F.lit('{"sales_volume": "'), quantity, F.lit(' compras"}')),
     }
-    return _with_part(_lines(spark, folder), spark, folder).select(*[c.alias(n) for n, c in columns.items()])
+    return _with_part(observed_lines(spark, folder), spark, folder).select(*[c.alias(n) for n, c in columns.items()])
 
 
 def price_text() -> Column:
@@ -218,7 +218,7 @@ def search_pages(spark: SparkSession, folder: str) -> DataFrame:
     }
     product = F.struct(*[c.alias(n) for n, c in item.items()])
     page = F.to_json(F.struct(F.struct(F.array(product).alias("products")).alias("data")))
-    lines = _with_part(_lines(spark, folder), spark, folder)
+    lines = _with_part(observed_lines(spark, folder), spark, folder)
     return lines.select(F.col("l_shipdate").alias("collected_at"), _ingestion_id().alias("ingestion_id"), page.alias("page"))
 
 
