@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrine.catalog import loading, marts, parsing, reports
+from vitrine.catalog import loading, marts, parsing, quality, reports, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = [marts, parsing, loading, reports]
+_MODULES = [marts, parsing, loading, reports, quality, streams]
 
 
 def _with_doubles(query: Query) -> Query:

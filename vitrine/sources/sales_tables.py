@@ -36,7 +36,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def observed_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "lineitem").withColumns({"cents": F.expr(_CENTS), "pct": F.expr(_PCT)})
+    return _with_amounts(table(spark, folder, "lineitem"))
+
+
+def _with_amounts(lines: DataFrame) -> DataFrame:
+    return lines.withColumns({"cents": F.expr(_CENTS), "pct": F.expr(_PCT)})
+
+
+def from_lines(lines: DataFrame, *columns: str) -> DataFrame:
+    """Observation columns that need no part attribute, of a batch or a stream of lines."""
+    return _with_amounts(lines).select(*[_FROM_LINE[name]().alias(name) for name in columns])
 
 
 def _with_part(lines: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
