@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrine.catalog import loading, marts, parsing, quality, reports, streams
+from vitrine.session import use_small_methods
 
 Query = Callable[[SparkSession, str], DataFrame]
 _MODULES = [marts, parsing, loading, reports, quality, streams]
 
 
-def _with_doubles(query: Query) -> Query:
+def _registered(query: Query) -> Query:
     """Decimal results as DOUBLE, the type the oracle gives them."""
 
     @wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
+        use_small_methods(spark)
         result = query(spark, folder)
         decimals = {
             f.name: F.col(f.name).cast("double") for f in result.schema if isinstance(f.dataType, T.DecimalType)
@@ -30,7 +32,7 @@ def _with_doubles(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _with_doubles(query) for module in _MODULES for name, query in module.QUERIES.items()}
+    return {name: _registered(query) for module in _MODULES for name, query in module.QUERIES.items()}
 
 
 def oracles() -> dict[str, str]:

@@ -79,7 +79,7 @@ def incremental_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, folder: str) -> DataFrame:
-    return st.event_messages(st.table(spark, folder, "events"))
+    return st.event_messages(st.spread(st.table(spark, folder, "events")))
 
 
 def dead_letter_split(spark: SparkSession, folder: str) -> DataFrame:

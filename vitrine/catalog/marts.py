@@ -6,19 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.catalog.sql import OBS, OBS_ONLY, STAGED, corr, half_up, mean, money, quantile, rounded, share, volume_units
-from vitrine.plans import marts
-from vitrine.plans.audit import row_counts
+from vitrine.plans import daily_run, marts
 from vitrine.plans.facts import facts
 from vitrine.plans.staging import staged
+from vitrine.session import scratch_folder
 from vitrine.sources.sales_tables import observations, raw_products
+from vitrine.sources.tables import materialise_table
+
+
+_MEASURES = ["product_id", "price", "discount_pct", "rating", "num_ratings", "free_shipping"]
 
 
 def market_overview(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.market_overview(observations(spark, folder))
+    flags = ["is_prime", "is_best_seller", "is_amazon_choice"]
+    return marts.market_overview(observations(spark, folder, *_MEASURES, *flags, "collected_at"))
 
 
 def condition_distribution(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.condition_distribution(observations(spark, folder))
+    return marts.condition_distribution(observations(spark, folder, *_MEASURES, "condition"))
 
 
 def free_shipping_mix(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,27 +81,13 @@ def observation_union(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def row_count_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of every layer.  Staging is stored once and read by all that follows."""
     raw = raw_products(spark, folder)
-    stage = staged(raw)
     history = observations(spark, folder).filter("seed_flag")
+    stage = materialise_table(staged(raw), scratch_folder(spark, "staging"))
     fact = facts(stage)
-    by_fact = marts.all_observations(fact, history)
-    by_stage = marts.all_observations(stage, history)
-    return row_counts(
-        {
-            "raw.products": raw,
-            "staging.stg_products": stage,
-            "marts.fct_products": fact,
-            "marts.dim_sellers": marts.brand_dimension(by_fact),
-            "marts.agg_market_overview": marts.market_overview(by_fact),
-            "marts.agg_free_shipping": marts.free_shipping_mix(by_fact),
-            "marts.agg_discount_vs_volume": marts.discount_buckets(by_fact),
-            "marts.agg_condition_distribution": marts.condition_distribution(by_fact),
-            "marts.agg_price_histogram": marts.price_histogram(by_fact),
-            "marts.agg_price_evolution": marts.price_evolution(by_stage),
-            "marts.agg_price_variation": marts.price_variation(by_stage),
-        }
-    )
+    rebuilt = daily_run.rebuilt_marts(fact, stage, history)
+    return daily_run.layers(raw, stage, fact, rebuilt).audit()
 
 
 QUERIES = {

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from vitrine.catalog.marts import brand_dimension
 from vitrine.catalog.sql import RAW, STAGED, money
@@ -55,11 +54,7 @@ def dq_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_run_status(spark: SparkSession, folder: str) -> DataFrame:
-    """Outcome of the rules on raw rows and on clean ones."""
-    raw = raw_products(spark, folder)
-    uncleaned = q.run_status(q.rule_report(raw)).withColumn("layer", F.lit("raw"))
-    clean = staged(raw).filter("discount_pct >= 0 and num_ratings >= 0")
-    return uncleaned.unionByName(q.run_status(q.rule_report(clean)).withColumn("layer", F.lit("clean")))
+    return q.run_status(q.rule_report(raw_products(spark, folder)))
 
 
 QUERIES = {
@@ -123,7 +118,7 @@ select rule, failures, case when failures = 0 then 'pass' else 'fail' end as sta
 from ({_ALL_RULES}) r(rule, failures)""",
     "dq_run_status": f"""
 with {RAW}
-select 'raw' as layer, case when count(*) filter (cents is null or discount_pct < 0) > 0 then 'PARTIAL'
-  else 'COMPLETED' end as run_status from raw
-union all select 'clean', 'COMPLETED'""",
+select case when count(*) filter (cents is null or discount_pct < 0) > 0 then 'PARTIAL' else 'COMPLETED' end
+    as run_status
+from raw""",
 }

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from vitrine.functions import first_case
+from vitrine.functions.numeric import PRICE_SCALE, cents
 
 # Price segments as (upper limit, label); the last one is open.
 PRICE_SEGMENTS = [
@@ -45,11 +46,13 @@ def price_segment(price: Column) -> Column:
 
 
 def bucket_start(price: Column, width: int = BUCKET_WIDTH) -> Column:
-    return (F.floor(price / width) * width).cast("int")
+    """Lower end of the price bucket; dividing DECIMALs is slow, so whole cents are used."""
+    span = width * 10**PRICE_SCALE
+    return (F.floor(cents(price) / span) * width).cast("int")
 
 
 def bucket_end(price: Column, width: int = BUCKET_WIDTH) -> Column:
-    return (F.floor(price / width) * width + (width - 1)).cast("int")
+    return bucket_start(price, width) + F.lit(width - 1)
 
 
 def grouped_int(number: Column) -> Column:

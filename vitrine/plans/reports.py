@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.functions.labels import CONDITION_DISPLAY, TREND_DISPLAY, TREND_DOWN, TREND_FLAT, TREND_UP, display, shorten
@@ -116,19 +116,24 @@ def filtered_shipping_price(facts: DataFrame, chosen: MarketFilter) -> DataFrame
 
 def group_gaps(facts: DataFrame, chosen: MarketFilter) -> DataFrame:
     """One row: mean against median, new against used, free against paid shipping."""
-    kpis = filtered_kpis(facts, chosen).select("total", "avg_price", "median_price", "pct_free_shipping")
-    conditions = filtered_condition_mix(facts, chosen).agg(
-        F.max(F.when(F.col("condition") == "new", F.col("avg_price"))).alias("avg_new"),
-        F.max(F.when(F.col("condition") == "used", F.col("avg_price"))).alias("avg_used"),
-    )
-    shipping = filtered_shipping_price(facts, chosen).agg(
-        F.max(F.when(F.col("free_shipping"), F.col("avg_price"))).alias("avg_free"),
-        F.max(F.when(~F.col("free_shipping"), F.col("avg_price"))).alias("avg_paid"),
+    rows = facts.filter(chosen.predicate())
+
+    def avg_price(group: Column) -> Column:
+        return mean(F.when(group, F.col("price")), PRICE_SCALE, 2)
+
+    averages = rows.agg(
+        F.count(F.lit(1)).alias("total"),
+        share(count_where(F.col("free_shipping")), F.count(F.lit(1)), 1).alias("pct_free_shipping"),
+        mean(F.col("price"), PRICE_SCALE, 2).alias("avg_price"),
+        avg_price(F.col("condition") == "new").alias("avg_new"),
+        avg_price(F.col("condition") == "used").alias("avg_used"),
+        avg_price(F.col("free_shipping")).alias("avg_free"),
+        avg_price(~F.col("free_shipping")).alias("avg_paid"),
     )
     mean_over_median = F.try_divide(
         F.col("avg_price").cast("double") - F.col("median_price"), F.col("median_price")
     ) * F.lit(100.0)
-    return combine_groups([kpis, conditions, shipping], []).select(
+    return combine_groups([averages, _percentile_prices(rows, [], {"median_price": 0.5})], []).select(
         half_up(F.col("total") * F.col("pct_free_shipping").cast("double") / 100, 0)
         .cast("bigint").alias("free_shipping_count"),
         half_up(mean_over_median, 4).alias("mean_vs_median_pct"),

@@ -35,8 +35,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def observed_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return _with_amounts(table(spark, folder, "lineitem"))
+def spread(scan: DataFrame) -> DataFrame:
+    """Deals a scan that Spark cannot split into enough tasks out to all cores.
+
+    A Parquet file with one row group is one task, and building and parsing the
+    text of a listing would run on one core.  Tables of many row groups have
+    more splits than cores and are left alone.  Pruned columns and pushed
+    filters still reach the scan.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def observed_lines(spark: SparkSession, folder: str, textual: bool = True) -> DataFrame:
+    """Lines with their amounts; spread out when text is to be built from them."""
+    lines = table(spark, folder, "lineitem")
+    return _with_amounts(spread(lines) if textual else lines)
 
 
 def _with_amounts(lines: DataFrame) -> DataFrame:
@@ -109,7 +123,7 @@ _ALL = {**_FROM_LINE, **_FROM_PART}
 def observations(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """Clean observations, live and history together; all columns unless some are named."""
     names = columns or tuple(_ALL)
-    lines = observed_lines(spark, folder)
+    lines = observed_lines(spark, folder, textual="sales_volume" in names)
     if any(name in _FROM_PART for name in names):
         lines = _with_part(lines, spark, folder)
     return lines.select(*[_ALL[name]().alias(name) for name in names])

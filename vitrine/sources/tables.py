@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from vitrine.schemas import SEED
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder is there, on whatever file system the path names."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
     """The history seed: CSV with header and declared types."""
     return spark.read.schema(SEED).option("header", True).csv(path)
