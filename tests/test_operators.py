@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vitrine.operators.filters import MarketFilter
 from vitrine.operators.keyed import append_outcomes, append_unseen, first_per_key, merge_on_key, unseen_rows
 from vitrine.operators.percentiles import combine_groups, exact_percentiles
-from vitrine.operators.ranks import observation_ranks
+from vitrine.operators.ranks import even_slices, observation_ranks
 
 
 def executed_plan(df):
@@ -105,6 +105,18 @@ def test_ranks_equal_brute_force(spark):
             assert got[i] == (position + 1, len(ordered) - position, len(ordered))
 
 
+def test_ranks_cut_copies_of_one_instant_into_slices(spark):
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 4 > 0, "hot").otherwise("cold").alias("p"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("t"), "id",
+    )
+    got = observation_ranks(df, "p", "t", ["id"])
+    hot = sorted((r.id, r.rank_asc, r.rank_desc) for r in got.filter("p = 'hot'").collect())
+    assert [(asc, desc) for _, asc, desc in hot] == [(n, 3001 - n) for n in range(1, 3001)]
+    sizes = [r["count"] for r in even_slices(df, ["p", "t", "id"]).groupBy("_slice").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 1500
+
+
 def test_filter_clauses(spark):
     from datetime import date
 

@@ -38,7 +38,8 @@ def pages_until_empty(
 
 def batch_stamp(instant: Column) -> Column:
     """Collection batch of an instant: ``batch-2026-04-03-10h``."""
-    return F.concat(F.lit("batch-"), F.date_format(instant, "yyyy-MM-dd-HH"), F.lit("h"))
+    hour = F.translate(F.substring(instant.cast("string"), 1, 13), " ", "-")
+    return F.concat(F.lit("batch-"), hour, F.lit("h"))
 
 
 def collection_discount(price: Column, original: Column) -> Column:

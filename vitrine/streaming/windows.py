@@ -12,12 +12,12 @@ from vitrine.operators.keyed import first_per_key
 
 def utc_instant(local: Column) -> Column:
     """A timestamp without zone taken as UTC, whatever the session zone is."""
-    return F.to_utc_timestamp(local.cast("timestamp"), F.current_timezone())
+    return F.from_utc_timestamp(local.cast("timestamp"), F.current_timezone())
 
 
 def utc_local(instant: Column) -> Column:
     """Inverse of :func:`utc_instant`."""
-    return F.from_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
+    return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
 
 
 def hourly_counts(stream: DataFrame, event_time: str, delay: str) -> DataFrame:
