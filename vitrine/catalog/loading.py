@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vitrine.catalog.sql import OBS, RAW, money
 from vitrine.operators.keyed import append_outcomes, append_unseen, first_per_key
+from vitrine.operators.partitioning import spread
 from vitrine.operators.ranks import observation_ranks as ranks
 from vitrine.plans.facts import newer_rows, upserted
 from vitrine.plans.reports import latest_per_product as latest
@@ -79,7 +80,7 @@ def incremental_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, folder: str) -> DataFrame:
-    return st.event_messages(st.spread(st.table(spark, folder, "events")))
+    return st.event_messages(spread(st.table(spark, folder, "events")))
 
 
 def dead_letter_split(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from vitrine.functions import first_case
 from vitrine.functions.labels import bucket_end, bucket_start, grouped_int, price_segment
 from vitrine.functions.numeric import from_units
+from vitrine.operators.partitioning import spread
 from vitrine.plans.facts import value_score
 from vitrine.schemas import MONEY, PERCENT, RATING, SOURCE_NAME
 from vitrine.sources.listings import batch_stamp
@@ -35,18 +36,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deals a scan that Spark cannot split into enough tasks out to all cores.
-
-    A Parquet file with one row group is one task, and building and parsing the
-    text of a listing would run on one core.  Tables of many row groups have
-    more splits than cores and are left alone.  Pruned columns and pushed
-    filters still reach the scan.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def observed_lines(spark: SparkSession, folder: str, textual: bool = True) -> DataFrame:
     """Lines with their amounts; spread out when text is to be built from them."""
     lines = table(spark, folder, "lineitem")
