@@ -10,10 +10,11 @@ from tests import seed
 from vitrine.operators import quality as q
 from vitrine.operators.filters import MarketFilter
 from vitrine.plans import daily_run, marts, reports
-from vitrine.plans.facts import facts, newer_rows, read_facts, upsert_facts, upserted, write_facts
+from vitrine.plans.facts import facts, latest_loaded, newer_rows, read_facts, upsert_facts, upserted, write_facts
 from vitrine.plans.staging import staged
 from vitrine.schemas import FACT_COLUMNS, RAW, STAGED
 from vitrine.sources.tables import materialise_view, read_seed
+from vitrine.streaming.ingest import held_rows, raw_table
 
 D = Decimal
 
@@ -106,6 +107,32 @@ def test_upsert_on_disk(spark, folder):
     assert read_facts(spark, path).count() == 4
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+
+
+def test_an_incremental_run_reads_new_rows_and_the_newest_partition(spark, folder):
+    raw = raw_rows(spark, day(1), day(2), day(3))
+    raw.write.parquet(f"{folder}/raw")
+    write_facts(facts(staged(raw.filter("product_id <> 'p3'"))), f"{folder}/facts")
+    loaded = latest_loaded(spark, f"{folder}/facts")
+    assert [r.product_id for r in loaded.collect()] == ["p2"]
+    plan = final_plan(newer_rows(facts(staged(spark.read.parquet(f"{folder}/raw"))), loaded))
+    watermark = next(n for n, line in enumerate(plan) if "Filter" in line and "collected_at" in line and "Subquery" in line)
+    assert watermark > next(n for n, line in enumerate(plan) if "WindowGroupLimit" in line and "Partial" in line)
+    assert any("PartitionFilters: [isnotnull(collection_date" in line and "Subquery" in line for line in plan)
+
+
+def test_a_raw_load_reads_only_its_dates(spark, folder):
+    rows = raw_rows(spark, day(1), day(2), day(3)).withColumn("collection_date", F.to_date("collected_at"))
+    rows.withColumn("load", F.lit(0).cast("bigint")).write.partitionBy("collection_date", "load").parquet(f"{folder}/raw")
+    held = held_rows(raw_table(spark, f"{folder}/raw"), rows.filter("product_id = 'p2'"))
+    assert [r.product_id for r in held.collect()] == ["p2"]
+    scan = next(line for line in final_plan(held) if "FileScan" in line)
+    assert ">= Subquery" in scan.split("PartitionFilters")[1]
+
+
 @pytest.fixture(scope="module")
 def history(spark, tmp_path_factory):
     return read_seed(spark, seed.write(str(tmp_path_factory.mktemp("seed") / "history.csv")))

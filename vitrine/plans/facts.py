@@ -80,10 +80,11 @@ def latest_loaded(spark: SparkSession, path: str) -> DataFrame:
 def upsert_facts(spark: SparkSession, path: str, candidates: DataFrame) -> None:
     """One incremental run against a fact table on disk.
 
-    Only partitions that receive rows are read and rewritten: the dates
-    touched prune the read of the table at run time.
+    New rows are later than everything loaded, so of the existing partitions
+    only the newest can receive any.  It is the only one read, and it is
+    rewritten only if it does.
     """
-    fresh = newer_rows(candidates, latest_loaded(spark, path))
-    touched = fresh.select("collection_date").distinct()
-    affected = read_facts(spark, path).join(touched, "collection_date", "left_semi").select(*FACT_COLUMNS)
-    write_facts(merge_on_key(affected, fresh, KEY), path)
+    newest = latest_loaded(spark, path)
+    fresh = newer_rows(candidates, newest)
+    affected = newest.join(fresh.select("collection_date").distinct(), "collection_date", "left_semi")
+    write_facts(merge_on_key(affected.select(*FACT_COLUMNS), fresh, KEY), path)
