@@ -26,7 +26,7 @@ def product(name, at="2024-01-15T10:30:00", **change):
     return {**GOOD, "product_id": name, "collected_at": at, **change}
 
 
-class Pipeline:
+class Ingest:
     def __init__(self, spark, folder):
         self.spark, self.folder = spark, folder
         self.landing, self.raw, self.dead = (f"{folder}/{n}" for n in ("landing", "raw", "dead"))
@@ -43,7 +43,7 @@ class Pipeline:
 
 
 def test_replay_restart_and_poison(spark, folder):
-    p = Pipeline(spark, folder)
+    p = Ingest(spark, folder)
     land(p.landing, "1.json", [("a1", product("a")), ("a2", product("a")), ("n1", product(None)), ("bad", "{bad")])
     assert p.run() == 4
     assert p.stored() == [("", "n1"), ("a", "a1")]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.labels import CONDITION_DISPLAY, TREND_DISPLAY, TREND_DOWN, TREND_FLAT, TREND_UP, display, shorten
 from vitrine.functions.numeric import (
-    DISCOUNT_SCALE, PRICE_SCALE, RATING_SCALE, cents, count_where, from_units, half_up, mean, pct_change, share,
+    DISCOUNT_SCALE, PRICE_SCALE, RATING_SCALE, cents, count_where, half_up, mean, pct_change, share,
 )
 from vitrine.functions.statistics import correlation_strength, pearson
 from vitrine.operators.filters import MarketFilter

@@ -53,7 +53,10 @@ def records(items: DataFrame, collected_at: Column, ingestion_id: Column | None
     """Normalises listing items (column ``item``) to the 24-field record."""
     price = parse_price(F.col("item.product_price")).try_cast(MONEY)
     original = parse_price(F.col("item.product_original_price")).try_cast(MONEY)
-    known = lambda name, default: F.coalesce(F.col(f"item.{name}"), F.lit(default))
+
+    def known(name: str, default: object) -> Column:
+        return F.coalesce(F.col(f"item.{name}"), F.lit(default))
+
     columns = {
         "ingestion_id": F.uuid() if ingestion_id is None else ingestion_id,
         "batch_id": batch_stamp(collected_at),
