@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vitrine.operators.filters import MarketFilter
 from vitrine.operators.keyed import append_outcomes, append_unseen, first_per_key, merge_on_key, unseen_rows
-from vitrine.operators.percentiles import combine_groups, exact_percentiles
+from vitrine.operators.percentiles import _band, combine_groups, exact_percentiles
 from vitrine.operators.ranks import even_slices, observation_ranks
 
 
@@ -22,7 +22,16 @@ def skewed(rng, n):
     """Values with a hot group, repeated values, several bands and negative numbers."""
     for _ in range(n):
         group = "hot" if rng.random() < 0.4 else f"g{rng.randrange(6)}"
-        yield group, rng.choice([rng.randrange(50), rng.randrange(-3_000_000, 9_000_000), 1_000_000])
+        yield group, rng.choice(
+            [rng.randrange(50), rng.randrange(-3_000_000, 9_000_000), 10_000, rng.randrange(-(10**12), 10**12), -(10**9)]
+        )
+
+
+def test_bands_follow_the_order_of_values(spark):
+    edges = [e + d for e in (-(10**12), -(10**9), -10_000, 0, 10_000, 10**9, 10**12) for d in (-1, 0, 1)]
+    df = spark.createDataFrame([(v,) for v in edges], "v bigint")
+    bands = [r.b for r in df.orderBy("v").select(_band(F.col("v")).alias("b")).collect()]
+    assert bands == sorted(bands) and max(bands) - min(bands) < 2_300_000
 
 
 @pytest.mark.parametrize("seed", range(3))

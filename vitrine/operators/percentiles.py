@@ -2,10 +2,11 @@
 
 The built-in ``percentile`` merges a group's whole value-to-count map in one
 task.  Here equal values are counted first (with map-side combining), the
-counts are added up over bands of ``BAND`` neighbouring values, and only the
-few bands that hold a wanted position are looked at value by value.  For money
-of DECIMAL(12,2) in cents neither the bands of a group nor the values of a band
-exceed a million rows, whatever the table size.
+counts are added up over bands of neighbouring values, and only the few bands
+that hold a wanted position are looked at value by value.  Bands are narrow
+where values usually lie and wide beyond, so that for money of DECIMAL(12,2) in
+cents a band has at most a million values and a group about as many bands,
+whatever the table size.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BAND = 1_000_000
+NARROW, WIDE = 10_000, 1_000_000
+USUAL = 1_000_000_000
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: Column, wanted: dict[str, float]) -> DataFrame:
@@ -25,11 +27,11 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: Column, wanted: dic
     Groups with a NULL key or without values give no row.
     """
     valued = df.select(*keys, value.cast("bigint").alias("_value")).withColumn(
-        "_band", F.floor(F.col("_value") / BAND)
+        "_band", _band(F.col("_value"))
     )
     # Both uses of the cells below carry the same filters and columns, so Spark
     # scans and shuffles them once and reuses the exchange.
-    for name in [*keys, "_value", "_band"]:
+    for name in [*keys, "_value"]:
         valued = valued.filter(F.col(name).isNotNull())
     cells = valued.groupBy(*keys, "_band", "_value").agg(F.count(F.lit(1)).alias("_n"))
 
@@ -79,6 +81,18 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: Column, wanted: dic
     )
 
 
+def _band(value: Column) -> Column:
+    """Number of the band of a value; never falls as the value grows."""
+    edge = USUAL // NARROW
+    band = (
+        F.when(value >= USUAL, edge + F.floor((value - USUAL) / WIDE))
+        .when(value <= -USUAL, -edge + F.floor((value + USUAL) / WIDE))
+        .otherwise(F.floor(value / NARROW))
+    )
+    # never NULL, so that a join on it needs no null filter on one of its sides only
+    return F.coalesce(band, F.lit(0))
+
+
 def _place(fraction: float) -> Column:
     return (F.col("_total") - 1) * F.lit(float(fraction))
 
