@@ -5,14 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.llm import quality_votes
 from vitrine.llm.contamination import find_contamination
+from vitrine.llm.language import identify, is_held_out, train
+from vitrine.llm.main_text import extract_main_text
+from vitrine.llm.pieces import encode
 from vitrine.llm.repeated_words import remove_repeated_words
 
 
+# A parameter: the tokenizer files are installed beside the library, never in it.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_main_text(_table(spark, folder, "pages"))
+
+
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words left after removing 13-word windows an earlier document has."""
     result = remove_repeated_words(_table(spark, folder, "documents"), window=13)
@@ -34,7 +47,46 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_decontamination)}
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from those that aren't held out."""
+    docs = _table(spark, folder, "documents")
+    model = train(docs.filter(~is_held_out()))
+    return identify(docs, model).select(
+        "doc_id", is_held_out().alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
+def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document, and whether decoding gives it back."""
+    return encode(_table(spark, folder, "documents"), PIECE_MODEL)
+
+
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counted features of every document, and whether it is kept."""
+    return quality_votes.judge(_table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "posterior",
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_main_text,
+        op2_substring_dedup,
+        op3_decontamination,
+        op5_language_id,
+        op7_sentencepiece,
+        op8_quality_rules,
+    )
+}
 
 _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

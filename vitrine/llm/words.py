@@ -47,6 +47,9 @@ class Powers:
     def __init__(self) -> None:
         self.up = self.down = np.ones(1, np.uint64)
 
+    def __reduce__(self):
+        return Powers, ()  # tasks make their own
+
     def upto(self, count: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < count:
             size = max(count, BLOCK_BYTES)
