@@ -10,6 +10,7 @@ from vitrine.llm.contamination import find_contamination
 from vitrine.llm.language import identify, is_held_out, train
 from vitrine.llm.main_text import extract_main_text
 from vitrine.llm.pieces import encode
+from vitrine.llm.repeated_bytes import remove_repeated_bytes
 from vitrine.llm.repeated_words import remove_repeated_words
 
 
@@ -76,6 +77,12 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes left after removing 200-byte strings that occur more than once."""
+    result = remove_repeated_bytes(_table(spark, folder, "documents"), length=200)
+    return result.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,6 +92,7 @@ QUERIES = {
         op5_language_id,
         op7_sentencepiece,
         op8_quality_rules,
+        op10_suffix_dedup,
     )
 }
 
