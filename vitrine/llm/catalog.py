@@ -12,6 +12,7 @@ from vitrine.llm.main_text import extract_main_text
 from vitrine.llm.pieces import encode
 from vitrine.llm.repeated_bytes import remove_repeated_bytes
 from vitrine.llm.repeated_words import remove_repeated_words
+from vitrine.llm.similar_sets import similar_groups
 
 
 # A parameter: the tokenizer files are installed beside the library, never in it.
@@ -48,6 +49,11 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Connected documents whose 5-word shingle sets have a Jaccard similarity of 0.8 or more."""
+    return similar_groups(_table(spark, folder, "documents"), words=5, percent=80)
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from those that aren't held out."""
     docs = _table(spark, folder, "documents")
@@ -89,6 +95,7 @@ QUERIES = {
         op1_main_text,
         op2_substring_dedup,
         op3_decontamination,
+        op4_ngram_jaccard,
         op5_language_id,
         op7_sentencepiece,
         op8_quality_rules,

@@ -38,11 +38,16 @@ def parts_of(df: DataFrame) -> int:
 
 
 def dealt(docs: DataFrame, *columns: str) -> DataFrame:
-    """The columns and the part of each document; a missing id sorts after all others (``key``)."""
+    """The columns, a key and the part of each document.
+
+    A missing id sorts after all others, and the text decides on the part.
+    """
     return docs.select(
         *columns,
         F.coalesce("doc_id", F.lit(int(NO_ID))).cast("long").alias("key"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(parts_of(docs))).cast("int").alias("part"),
+        F.pmod(
+            F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(parts_of(docs))
+        ).cast("int").alias("part"),
     )
 
 
