@@ -12,7 +12,9 @@ from vitrine.llm.main_text import extract_main_text
 from vitrine.llm.pieces import encode
 from vitrine.llm.repeated_bytes import remove_repeated_bytes
 from vitrine.llm.repeated_words import remove_repeated_words
+from vitrine.llm.resampling import resample
 from vitrine.llm.similar_sets import similar_groups
+from vitrine.llm.tool_calls import canonical, link
 
 
 # A parameter: the tokenizer files are installed beside the library, never in it.
@@ -63,6 +65,13 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's importance for texts labelled good, and whether it is drawn."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    good = labels.filter("quality = 1 AND toxic = 0").select("doc_id").distinct()
+    return resample(docs, docs.join(good, "doc_id", "left_semi"))
+
+
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document, and whether decoding gives it back."""
     return encode(_table(spark, folder, "documents"), PIECE_MODEL)
@@ -83,6 +92,42 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_TURN_SCHEMA = canonical(
+    {
+        "type": "object",
+        "required": ["text"],
+        "properties": {"text": {"type": "string"}, "after": {"type": "string"}},
+        "additionalProperties": False,
+    }
+)
+
+
+def op9_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations as tool calls: what is said to the assistant calls it, its next turn is the result.
+
+    The call's id is its turn; it depends on the call two turns before.
+    """
+    turns = _table(spark, folder, "conversations").withColumn("turn", F.col("turn").cast("long"))
+    said = F.struct(F.struct((F.col("turn") - 2).cast("string").alias("$ref")).alias("after"), "text")
+    calls = turns.filter("role <> 'assistant'").select(
+        "conv_id",
+        "turn",
+        F.lit(0).alias("position"),
+        F.col("turn").cast("string").alias("call_id"),
+        F.when(F.col("role") == "system", "instruct").otherwise("reply").alias("name"),
+        F.to_json(said).alias("arguments"),
+        F.array((F.col("turn") - 2).cast("string")).alias("refs"),
+    )
+    results = turns.filter("role = 'assistant'").select(
+        "conv_id", "turn", (F.col("turn") - 1).cast("string").alias("call_id"), F.col("text").alias("content")
+    )
+    schemas = spark.range(2).select(
+        F.when(F.col("id") == 0, "reply").otherwise("instruct").alias("name"), F.lit(_TURN_SCHEMA).alias("schema")
+    )
+    result = link(calls, results, schemas)
+    return result.withColumn("errors", F.array_join("errors", ";"))
+
+
 def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes left after removing 200-byte strings that occur more than once."""
     result = remove_repeated_bytes(_table(spark, folder, "documents"), length=200)
@@ -97,8 +142,10 @@ QUERIES = {
         op3_decontamination,
         op4_ngram_jaccard,
         op5_language_id,
+        op6_importance_resampling,
         op7_sentencepiece,
         op8_quality_rules,
+        op9_tool_calls,
         op10_suffix_dedup,
     )
 }
@@ -159,5 +206,25 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(named, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN by_doc USING (doc_id) LEFT JOIN hit_words USING (doc_id)
+""",
+    "op9_tool_calls": r"""
+WITH calls AS (
+  SELECT conv_id, turn, CASE WHEN role = 'system' THEN 'instruct' ELSE 'reply' END AS name, text
+  FROM conversations WHERE role <> 'assistant'
+), results AS (
+  SELECT conv_id, turn, turn - 1 AS call_turn, text FROM conversations WHERE role = 'assistant'
+)
+SELECT c.conv_id, CAST(c.turn AS VARCHAR) AS call_id, CAST(c.turn AS BIGINT) AS turn, 0 AS position,
+       CASE WHEN r.turn IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+       CAST(c.turn AS BIGINT) AS after_turn, 0 AS after_steps, '' AS errors,
+       '{"call":{"arguments":{"after":{"$ref":"' || (c.turn - 2) || '"},"text":' || CAST(to_json(c.text) AS VARCHAR)
+       || '},"id":"' || c.turn || '","name":"' || name || '"},"result":'
+       || coalesce(CAST(to_json(r.text) AS VARCHAR), 'null') || '}' AS json
+FROM calls c LEFT JOIN results r ON r.conv_id = c.conv_id AND r.call_turn = c.turn
+UNION ALL
+SELECT r.conv_id, CAST(r.call_turn AS VARCHAR), CAST(r.turn AS BIGINT), 0, 'orphan', CAST(r.turn AS BIGINT), 0, '',
+       '{"content":' || CAST(to_json(r.text) AS VARCHAR) || ',"role":"tool","tool_call_id":"' || r.call_turn || '"}'
+FROM results r LEFT JOIN calls c ON r.conv_id = c.conv_id AND r.call_turn = c.turn
+WHERE c.turn IS NULL
 """,
 }

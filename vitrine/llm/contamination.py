@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitrine.llm.exchange import among
 from vitrine.llm.words import ALPHANUMERIC, LOWERED, blocks, covered, find_words, text_bytes, windows
@@ -16,10 +17,20 @@ from vitrine.llm.words import ALPHANUMERIC, LOWERED, blocks, covered, find_words
 WINDOWS_PER_BLOCK = 200_000
 _ITEM = "item string, length int, print long, words binary"
 _HITS = "starts array<int>, lengths array<int>, items array<string>"
-_RESULT = "n_words long, n_hit long, items array<string>, kept_text string"
-
-
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, keep_text: bool = True) -> DataFrame:
+_RESULT = (
+    T.StructType()
+    .add("doc_id", "long")
+    .add("n_words", "long")
+    .add("n_hit", "long")
+    .add("items", T.ArrayType(T.StringType()))
+    .add("kept_text", "string")
+)
+_NAMES = ["doc_id", "n_words", "n_hit", "items", "kept_text"]
+
+
+def find_contamination(
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, keep_text: bool = True, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """The words of each document that lie in a window of a benchmark item.
 
     ``docs`` needs doc_id and text, ``benchmark`` item_id and text; other
@@ -29,7 +40,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
 
     Returns per document row doc_id, n_words, n_hit, items (the sorted ids of
     the items found, as strings) and kept_text, the text without its runs of
-    hit words, with the separators inside a run (null unless ``keep_text``).
+    hit words, with the separators inside a run (null unless ``keep_text``).  The
+    columns in ``carry`` follow.
 
     A null or empty text has no words; its kept_text is "".  An item without
     words or text is nowhere found; a null item_id is reported as "".  Repeated
@@ -51,32 +63,29 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     for block in range(number):
         rows = found.filter(F.col("block") == block).drop("block").collect()
         sets.append(spark.sparkContext.broadcast(_hash_set(rows)))
-    texts = docs.select("doc_id", "text")
+    texts = docs.select("doc_id", "text", *carry)
+    schema = T.StructType([*_RESULT.fields, *(docs.schema[c] for c in carry)])
     if number == 1:
-        return texts.mapInArrow(_scan(sets[0], keep_text), "doc_id long, " + _RESULT)
-    texts = texts.withColumn("text_key", F.xxhash64("text"))
-    hits = texts.mapInArrow(_hits(sets[0]), "doc_id long, text_key long, " + _HITS)
+        return texts.mapInArrow(_scan(sets[0], keep_text), schema)
+    keyed = texts.withColumn("_text_key", F.xxhash64("text"))
+    asked = keyed.select("doc_id", "text", "_text_key")
+    hits = asked.mapInArrow(_hits(sets[0]), "doc_id long, _text_key long, " + _HITS)
     for held in sets[1:]:
-        hits = hits.unionAll(texts.mapInArrow(_hits(held), "doc_id long, text_key long, " + _HITS))
-    hits = hits.distinct().groupBy("doc_id", "text_key").agg(
+        hits = hits.unionAll(asked.mapInArrow(_hits(held), "doc_id long, _text_key long, " + _HITS))
+    hits = hits.distinct().groupBy("doc_id", "_text_key").agg(
         *(F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "lengths", "items"))
     )
-    joined = texts.alias("t").join(
-        hits.alias("h"),
-        F.expr("t.doc_id <=> h.doc_id AND t.text_key = h.text_key"),
-        "left",
-    )
-    return joined.select("t.doc_id", "t.text", "h.starts", "h.lengths", "h.items").mapInArrow(
-        _assemble(keep_text), "doc_id long, " + _RESULT
+    joined = keyed.alias("t").join(
+        hits.alias("h"), F.expr("t.doc_id <=> h.doc_id AND t._text_key = h._text_key"), "left"
     )
+    chosen = joined.select("t.doc_id", "t.text", "h.starts", "h.lengths", "h.items", *(f"t.{c}" for c in carry))
+    return chosen.mapInArrow(_assemble(keep_text), schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, drop_share: float = 0.8, **options) -> DataFrame:
-    """doc_id, text: hit runs removed, and documents with at least ``drop_share`` of their words hit left out."""
+    """What ``find_contamination`` leaves: documents with at least ``drop_share`` of their words hit are left out."""
     found = find_contamination(docs, benchmark, **options)
-    return found.filter(~((F.col("n_hit") > 0) & (F.col("n_hit") >= drop_share * F.col("n_words")))).select(
-        "doc_id", F.col("kept_text").alias("text")
-    )
+    return found.filter(~((F.col("n_hit") > 0) & (F.col("n_hit") >= drop_share * F.col("n_words"))))
 
 
 def _phrase(block: np.ndarray, words, at: int, length: int) -> bytes:
@@ -178,16 +187,22 @@ def _scan(held, keep_text: bool):
                 starts, lengths, pairs = _search(block, words, held.value)
                 items = _lists([p[1] for p in pairs], np.array([p[0] for p in pairs], np.int64), b - a, pa.string())
                 columns = _outcome(block, cuts, words, starts, lengths, items, keep_text)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a).cast(pa.int64()), *columns],
-                    ["doc_id", "n_words", "n_hit", "items", "kept_text"],
-                )
+                yield _result(batch, a, b, columns, 2)
 
     return run
 
 
+def _result(batch: pa.RecordBatch, a: int, b: int, columns: list[pa.Array], carried: int) -> pa.RecordBatch:
+    """Rows of a batch with the outcome, and the batch's columns from ``carried`` on."""
+    carry = batch.slice(a, b - a)
+    return pa.RecordBatch.from_arrays(
+        [carry.column(0).cast(pa.int64()), *columns, *carry.columns[carried:]],
+        [*_NAMES, *batch.schema.names[carried:]],
+    )
+
+
 def _hits(held):
-    """doc_id, text_key and the hits of one block of windows, for documents that have some."""
+    """doc_id, _text_key and the hits of one block of windows, for documents that have some."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,7 +223,7 @@ def _hits(held):
                         _lists(lengths[order], rows, b - a, pa.int32()),
                         _lists([p[1] for p in pairs], np.array([p[0] for p in pairs], np.int64), b - a, pa.string()),
                     ],
-                    ["doc_id", "text_key", "starts", "lengths", "items"],
+                    ["doc_id", "_text_key", "starts", "lengths", "items"],
                 )
                 yield out.filter(pa.array(np.bincount(rows, minlength=b - a) > 0))
 
@@ -231,9 +246,6 @@ def _assemble(keep_text: bool):
                 columns = _outcome(
                     block, cuts, words, np.array(starts, np.int64), np.array(held, np.int64), named, keep_text
                 )
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a).cast(pa.int64()), *columns],
-                    ["doc_id", "n_words", "n_hit", "items", "kept_text"],
-                )
+                yield _result(batch, a, b, columns, 5)
 
     return run

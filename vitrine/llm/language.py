@@ -83,12 +83,21 @@ def train(labelled: DataFrame, sample_rows: int = 4000, clusters: int = 4, lenie
     in a hundred of a language's texts reach is the least a text may have.
     """
     rows = labelled.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
-    languages = sorted(r.lang for r in rows.select("lang").distinct().collect())
-    if not languages:
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not counts:
         return None
+    languages = sorted(counts)
     each = max(1, sample_rows // len(languages))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= each)
+    # a hash leaves about four times as many as are wanted, so that the ranking is small whatever the table's size
+    share = F.create_map(*(F.lit(x) for lang in languages for x in (lang, min(1.0, 4 * each / counts[lang]))))
+    place = (F.xxhash64("doc_id").cast("double") / 2.0**64) + 0.5
+    order = Window.partitionBy("lang").orderBy("place", "doc_id")
+    chosen = (
+        rows.select("doc_id", "lang", place.alias("place"))
+        .filter(F.col("place") <= share[F.col("lang")])
+        .withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= each)
+    )
     sample = rows.join(chosen.select("doc_id", "lang").distinct(), ["doc_id", "lang"]).select("doc_id", "lang", "text")
     held = sorted(
         (r.lang, r.doc_id or 0, bytes(r.grams))
@@ -158,21 +167,8 @@ def identify(docs: DataFrame, model: Centroids | None) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
         for batch in batches:
-            with_letter = pc.fill_null(pc.match_substring_regex(batch.column(1), r"\p{L}"), False).to_numpy(
-                zero_copy_only=False
-            )
-            for a, b, counts in _batches(batch, 1):
-                known = with_letter[a:b]
-                score, lang, far = np.zeros(b - a), np.full(b - a, UNKNOWN, object), np.ones(b - a, bool)
-                if model is not None and known.any():
-                    cosines = _unit(np.log1p(counts[known]) * model.weights) @ model.centroids.T
-                    best = np.argmax(cosines, axis=1)
-                    near = cosines[np.arange(len(best)), best]
-                    score[known] = np.clip(near, 0, 1)
-                    lang[known] = np.array(model.languages, object)[model.owner[best]]
-                    far[known] = near < model.least[best]
+            for a, b, lang, score, far in _judged(batch, 1, held.value):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a).cast(pa.int64()),
@@ -186,6 +182,36 @@ def identify(docs: DataFrame, model: Centroids | None) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, RESULT)
 
 
+def accepted(docs: DataFrame, model: Centroids | None) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``identify`` doesn't reject."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    column = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, _, _, far in _judged(batch, column, held.value):
+                yield batch.slice(a, b - a).filter(pa.array(~far))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _judged(batch: pa.RecordBatch, column: int, model: Centroids | None):
+    """Ranges of a batch's rows with their language, score and rejection."""
+    with_letter = pc.fill_null(pc.match_substring_regex(batch.column(column), r"\p{L}"), False)
+    with_letter = with_letter.to_numpy(zero_copy_only=False)
+    for a, b, counts in _batches(batch, column):
+        known = with_letter[a:b]
+        score, lang, far = np.zeros(b - a), np.full(b - a, UNKNOWN, object), np.ones(b - a, bool)
+        if model is not None and known.any():
+            cosines = _unit(np.log1p(counts[known]) * model.weights) @ model.centroids.T
+            best = np.argmax(cosines, axis=1)
+            near = cosines[np.arange(len(best)), best]
+            score[known] = np.clip(near, 0, 1)
+            lang[known] = np.array(model.languages, object)[model.owner[best]]
+            far[known] = near < model.least[best]
+        yield a, b, lang, score, far
+
+
 def is_held_out(doc_id="doc_id"):
     """The rows that are never learned from: crc32 of the id as text leaves 2 modulo 4 (false for a null id)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))

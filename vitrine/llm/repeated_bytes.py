@@ -21,6 +21,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from vitrine.llm.exchange import among, answer, ask, dealt, distinct, entries, finish, parts_of, send
 from vitrine.llm.suffixes import Suffixes
@@ -28,15 +30,13 @@ from vitrine.llm.words import BYTE_VALUES, POWERS, blocks, covered, mixed, text_
 
 HOT = 20_000
 SORT_BYTES = 1 << 20
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-_SCHEMA = pa.schema(
-    [
-        ("doc_id", pa.int64()),
-        ("n_bytes", pa.int64()),
-        ("n_removed", pa.int64()),
-        ("n_spans", pa.int64()),
-        ("kept", pa.binary()),
-    ]
+_RESULT = (
+    T.StructType()
+    .add("doc_id", "long")
+    .add("n_bytes", "long")
+    .add("n_removed", "long")
+    .add("n_spans", "long")
+    .add("kept", "binary")
 )
 ANCHORS, SEGMENTS, SPANS, WINDOWS = range(4)
 _UNIFORM, _MIXED, _HOT = 1, 2, 3
@@ -59,14 +59,14 @@ _PIECE = 1 << 22
 _CHECK_VALUES = mixed(BYTE_VALUES + np.uint64(1)) | np.uint64(1)
 
 
-def remove_repeated_bytes(docs: DataFrame, length: int = 200, gram: int = 64) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, length: int = 200, gram: int = 64, carry: tuple[str, ...] = ()) -> DataFrame:
     """Removes each byte in a string of ``length`` bytes that also starts at another place of any document.
 
     ``docs`` needs doc_id and text; other columns are not read.  Texts are
     judged as UTF-8 bytes on the input, in whole; overlapping occurrences count,
     those in the same document too.  Returns per row doc_id, n_bytes, n_removed,
     n_spans (maximal removed runs) and kept, the remaining bytes in order.  They
-    need not be whole characters at the cuts.
+    need not be whole characters at the cuts.  The columns in ``carry`` follow.
 
     A null text counts as empty; it and texts shorter than ``length`` keep all.
     Repeated rows repeat each other, whatever their doc_id.  An empty table
@@ -78,7 +78,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 200, gram: int = 64) ->
     if length < 8 or gram > length:
         raise ValueError("length must be 8 at least and gram no more than length")
     buckets = parts_of(docs)
-    dealt_docs = dealt(docs, "doc_id", "text")
+    dealt_docs = dealt(docs, "doc_id", "text", *carry)
     answers = None
     for sender, answerer in (
         _anchors(length, gram, buckets),
@@ -87,18 +87,21 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 200, gram: int = 64) ->
     ):
         got = ask(dealt_docs, answers, sender, answerer)
         answers = got if answers is None else answers.unionAll(got)
-    return finish(dealt_docs, answers, _removal(length, gram), RESULT)
+    schema = T.StructType([*_RESULT.fields, *(docs.schema[c] for c in carry)])
+    return finish(dealt_docs, answers, _removal(length, gram, carry, to_arrow_schema(schema)), schema)
 
 
 def kept_texts(result: DataFrame) -> DataFrame:
-    """doc_id and text of a result: the kept bytes without what is left of characters that were cut."""
+    """A result with its kept bytes as ``text``, without what is left of characters that were cut."""
+    column = result.columns.index("kept")
+    schema = T.StructType([T.StructField("text", T.StringType()) if f.name == "kept" else f for f in result.schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [kept.decode("utf-8", "ignore") for kept in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+            texts = [kept.decode("utf-8", "ignore") for kept in batch.column(column).to_pylist()]
+            yield batch.set_column(column, "text", pa.array(texts, pa.string()))
 
-    return result.select("doc_id", "kept").mapInArrow(run, "doc_id long, text string")
+    return result.mapInArrow(run, schema)
 
 
 @dataclass
@@ -410,10 +413,10 @@ def _repeats(content, head, begin, sizes, chosen, length) -> Iterator[tuple[int,
             yield int(chosen[w]), f, e
 
 
-def _removal(length: int, gram: int):
+def _removal(length: int, gram: int, carry: tuple[str, ...], schema: pa.Schema):
     def last(table: pa.Table, got: pa.Table) -> pa.Table:
         if not len(table):
-            return _SCHEMA.empty_table()
+            return schema.empty_table()
         _, data, offsets = _part(table)
         own = segments_of(data, offsets, length, gram)
         role = _note(own.anchor, *_noted(got, ANCHORS, np.dtype(np.uint8)))
@@ -437,7 +440,9 @@ def _removal(length: int, gram: int):
             ends.append(at + length)
         begin, end = np.concatenate(starts), np.concatenate(ends)
         gone = covered(begin, end - begin, len(data))
-        return _kept(table, data, offsets, gone)
+        columns = _kept(table, data, offsets, gone)
+        columns += [table.column(c).cast(schema.field(c).type) for c in carry]
+        return pa.table(columns, schema=schema)
 
     return last
 
@@ -470,8 +475,8 @@ def _pair_among(keys: np.ndarray, checks: np.ndarray, known: np.ndarray, noted:
     return hit
 
 
-def _kept(table: pa.Table, data: np.ndarray, offsets: np.ndarray, gone: np.ndarray) -> pa.Table:
-    """The result rows of a part, given its removed bytes."""
+def _kept(table: pa.Table, data: np.ndarray, offsets: np.ndarray, gone: np.ndarray) -> list:
+    """The result columns of a part, given its removed bytes."""
     removed = np.concatenate(([0], np.cumsum(gone)))[offsets]
     opens = gone.copy()
     opens[1:] &= ~gone[:-1]
@@ -482,11 +487,10 @@ def _kept(table: pa.Table, data: np.ndarray, offsets: np.ndarray, gone: np.ndarr
     content = pa.BinaryArray.from_buffers(
         pa.binary(), len(table), [None, pa.py_buffer(kept), pa.py_buffer(data[~gone])]
     )
-    columns = [
+    return [
         table.column("doc_id").cast(pa.int64()),
         pa.array(np.diff(offsets), pa.int64()),
         pa.array(np.diff(removed), pa.int64()),
         pa.array(np.diff(spans), pa.int64()),
         content,
     ]
-    return pa.table(columns, schema=_SCHEMA)

@@ -14,13 +14,12 @@ compared with all the others, in blocks.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.llm.components import components
@@ -59,10 +58,40 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     a row still connects others, and its component_id is null if it reaches no
     doc_id.  An empty table gives an empty result.
     """
-    buckets = parts_of(docs)
-    texts = dealt(docs, "doc_id", "text").withColumn(
-        "key", F.coalesce("doc_id", F.lit(UNNAMED) + F.shiftrightunsigned(F.xxhash64("text"), 3))
+    component = F.col("component")
+    return _groups(docs, words, percent).select(
+        F.when(F.col("key") < UNNAMED, F.col("key")).alias("doc_id"),
+        "n_shingles",
+        F.when(component < UNNAMED, component).alias("component_id"),
+    )
+
+
+def first_of_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of one document of each group: the one with the smallest doc_id.
+
+    Of rows with the same doc_id the one with the smallest text stays.  Rows
+    without doc_id stay if they are similar to none with one, equal texts once.
+    """
+    first = _groups(docs, words, percent).filter("key = component").select(F.col("key").alias("_key")).distinct()
+    order = Window.partitionBy("_key").orderBy("text")
+    return (
+        docs.withColumn("_key", _key())
+        .join(first, "_key", "left_semi")
+        .withColumn("_rank", F.row_number().over(order))
+        .filter("_rank = 1")
+        .select(*docs.columns)
     )
+
+
+def _key():
+    """The doc_id, or a large number made of the text where it is missing."""
+    return F.coalesce("doc_id", F.lit(UNNAMED) + F.shiftrightunsigned(F.xxhash64("text"), 3))
+
+
+def _groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """key, n_shingles and component of each row."""
+    buckets = parts_of(docs)
+    texts = dealt(docs, "doc_id", "text").withColumn("key", _key())
     counted = ask(texts, None, *_token_counts(words, percent, buckets))
     answers = counted.unionAll(ask(texts, counted, *_pivots(words, percent, buckets)))
     sent = (
@@ -84,12 +113,7 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     edges = edges.unionAll(members.join(several, "key").select("first", "least"))
     labels = stored(components(edges), "labels")
     found = members.join(labels, members["first"] == labels["node"], "left")
-    component = F.coalesce("label", "first")
-    return found.select(
-        F.when(F.col("key") < UNNAMED, F.col("key")).alias("doc_id"),
-        "n_shingles",
-        F.when(component < UNNAMED, component).alias("component_id"),
-    )
+    return found.select("key", "n_shingles", F.coalesce("label", "first").alias("component"))
 
 
 # --- sets of a part ----------------------------------------------------------------------
