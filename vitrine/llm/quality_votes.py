@@ -85,7 +85,7 @@ def _vote(bad: Column, good: Column) -> Column:
 def votes() -> dict[str, Column]:
     """What each rule says of a text: 1 good, 0 bad, null if it abstains."""
     n, lines = F.col("n_words"), F.col("n_lines")
-    size, per_line = F.col("word_chars"), F.col("n_words") / F.col("n_lines")
+    size, per_line = F.col("word_chars"), F.try_divide("n_words", "n_lines")
     never = F.lit(False)
     return {
         "length": _vote(n < 20, never),
