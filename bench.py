@@ -35,6 +35,7 @@ def main() -> None:
         f"local[{cpus}]",
         **{
             "spark.sql.shuffle.partitions": cpus,
+            "spark.vitrine.inputPartitions": cpus,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",

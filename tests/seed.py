@@ -1,28 +1,29 @@
-"""The history seed, from a rule: five products over seven days, one price step a day."""
+"""A history of invented products, from a rule: five products over six days, one price step a day."""
 
 import csv
 
 from vitrine.schemas import SEED
 
+DAYS = 6
 # product, title, brand, first price, daily step, original, rating, first ratings, volume text, offers
 PRODUCTS = [
-    ("B0SIM001", "Smartphone Motorola Moto G06", "Motorola", 750, -13, 899, 4.5, 512, "Mais de 500 compras", 1),
-    ("B0SIM002", "Smartphone Samsung Galaxy A55", "Samsung", 1800, -8, 1999, 4.6, 1834, "Mais de 1 mil compras", 2),
-    ("B0SIM003", "Smartphone Xiaomi Redmi Note 13", "Xiaomi", 1100, 0, 1299, 4.4, 987, "Mais de 800 compras", 1),
-    ("B0SIM004", "Smartphone Apple iPhone 15", "Apple", 5500, 50, 5999, 4.8, 3241, "Mais de 2,5 mil compras", 3),
-    ("B0SIM005", "Smartphone Samsung Galaxy A15", "Samsung", 850, -1, 999, 4.2, 621, "", 1),
+    ("LOJA-A", "Celular Motorola Edge 90", "Motorola", 1200, -30, 1500, 4.2, 100, "Mais de 300 compras", 2),
+    ("LOJA-B", "Celular Samsung Nota 7", "Samsung", 2400, -12, 2600, 4.7, 900, "Mais de 2 mil compras", 1),
+    ("LOJA-C", "Celular Xiaomi Verde", "Xiaomi", 640, 0, 700, 4.0, 1000, "Mais de 700 compras", 4),
+    ("LOJA-D", "Celular Apple Nove", "Apple", 4000, 40, 4800, 4.5, 2000, "Mais de 3,5 mil compras", 1),
+    ("LOJA-E", "Celular Samsung Nota 3", "Samsung", 980, -1, 1100, 4.1, 300, "", 1),
 ]
 
 
 def rows():
-    for day in range(7):
-        stamp = f"2026-04-{3 + day:02d} 10:00:00+00"
+    for day in range(DAYS):
+        stamp = f"2025-11-{10 + day:02d} 09:00:00+00"
         for n, (product, title, brand, price, step, original, rating, ratings, volume, offers) in enumerate(PRODUCTS):
             now = price + step * day
             yield {
-                "ingestion_id": f"seed-{n + 1:03d}-{day}", "batch_id": "seed-historical", "source": "amazon_br",
+                "ingestion_id": f"seed-{n + 1:03d}-{day}", "batch_id": "history", "source": "amazon_br",
                 "collected_at": stamp, "inserted_at": stamp, "product_id": product, "title": title, "brand": brand,
-                "condition": "new", "url": f"https://example.com/dp/{product}", "thumbnail_url": "",
+                "condition": "new", "url": f"https://example.com/item/{product}", "thumbnail_url": "",
                 "price": f"{now}.00", "original_price": f"{original}.00",
                 "discount_pct": f"{(original - now) / original * 100:.2f}", "currency": "BRL", "rating": rating,
                 "num_ratings": ratings + day, "is_best_seller": "false", "is_amazon_choice": str(n == 0).lower(),

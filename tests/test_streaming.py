@@ -5,10 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_messages import GOOD
-from vitrine.schemas import MESSAGE
+from vitrine.schemas import LANDED, MESSAGE
+from vitrine.sources import messages as msg
 from vitrine.streaming import ingest
 from vitrine.streaming.drain import drain
-from vitrine.streaming.windows import daily_prices, hourly_counts, start_window_table, window_table
+from vitrine.streaming.windows import compact_windows, daily_prices, hourly_counts, start_window_table, window_table
 
 
 def land(folder, name, payloads):
@@ -19,10 +20,10 @@ def land(folder, name, payloads):
             message = {"ingestion_id": ingestion_id, "batch_id": "b", "source": "amazon_br", "collected_at": "x", "payload": text}
             out.write(json.dumps(message) + "\n")
     # the source reads files in order of their age
-    os.utime(os.path.join(folder, name), (1.7e9 + int(name[0]), 1.7e9 + int(name[0])))
+    os.utime(os.path.join(folder, name), (1.7e9 + int(name.split(".")[0]), 1.7e9 + int(name.split(".")[0])))
 
 
-def product(name, at="2024-01-15T10:30:00", **change):
+def product(name, at="2025-02-03T08:15:00", **change):
     return {**GOOD, "product_id": name, "collected_at": at, **change}
 
 
@@ -33,7 +34,14 @@ class Ingest:
 
     def run(self, files_per_batch=1):
         stream = ingest.message_stream(self.spark, self.landing, files_per_batch)
-        return drain(ingest.start_ingest(stream, self.raw, self.dead, f"{self.folder}/checkpoint"), 120)
+        before = self.read()
+        drain(ingest.start_ingest(stream, self.raw, self.dead, f"{self.folder}/checkpoint"))
+        return self.read() - before
+
+    def read(self):
+        if not os.path.exists(f"{self.raw}_reads"):
+            return 0
+        return ingest.lag(self.spark, self.landing, self.raw, self.dead).first().read
 
     def stored(self):
         return sorted((r.product_id or "", r.ingestion_id) for r in ingest.raw_table(self.spark, self.raw).collect())
@@ -49,18 +57,69 @@ def test_replay_restart_and_poison(spark, folder):
     assert p.stored() == [("", "n1"), ("a", "a1")]
     assert p.refused() == [("bad", "payload is not a JSON object")]
     # the same messages again, one new product, one new instant, another poisoned message
-    land(p.landing, "2.json", [("a1", product("a")), ("b1", product("b")), ("a3", product("a", "2024-01-16T10:30:00"))])
+    land(p.landing, "2.json", [("a1", product("a")), ("b1", product("b")), ("a3", product("a", "2025-02-04T08:15:00"))])
     land(p.landing, "3.json", [("late", product("b")), ("txt", product("c", price="caro"))])
     assert p.run() == 5
     assert p.stored() == [("", "n1"), ("a", "a1"), ("a", "a3"), ("b", "b1")]
     assert p.refused() == [("bad", "payload is not a JSON object"), ("txt", "wrong type for: price")]
     assert p.run() == 0
     totals = [tuple(r) for r in ingest.load_totals(spark, p.raw, p.dead).collect()]
-    assert totals == [(0, 2, 1), (1, 2, 0), (2, 0, 1)]
+    assert totals == [(0, 4, 2, 1), (1, 3, 2, 0), (2, 2, 0, 1)]
+    assert tuple(ingest.lag(spark, p.landing, p.raw, p.dead).first()) == (9, 9, 0, 4, 2, 3)
+    land(p.landing, "4.json", [("c1", product("c"))])
+    assert ingest.lag(spark, p.landing, p.raw, p.dead).first().pending == 1
     row = ingest.raw_table(spark, p.raw).filter("ingestion_id = 'a1'").first()
     assert json.loads(row.raw_payload) == GOOD["raw_payload"] and row.inserted_at is not None
 
 
+def test_more_batches_than_a_query_remembers(spark, folder):
+    p = Ingest(spark, folder)
+    for n in range(105):
+        land(p.landing, f"{n}.json", [(f"i{n}", product(f"p{n}"))])
+    assert p.run() == 105 and len(p.stored()) == 105
+
+
+def test_published_messages_arrive_in_order_and_can_be_traced(spark, folder):
+    p = Ingest(spark, folder)
+    rows = [(f"z{9 - n}", json.dumps({**product("a", price=n + 1.0), "ingestion_id": f"z{9 - n}"})) for n in range(3)]
+    parsed = msg.parsed(spark.createDataFrame([(i, "b", "s", "t", text) for i, text in rows], MESSAGE).coalesce(1))
+    sent = msg.loadable(parsed)
+    unsent = sent.limit(1).withColumn("batch_id", F.lit(None).cast("string"))
+    msg.publish(sent.unionByName(unsent).coalesce(1), p.landing, f"{folder}/unsent", 1)
+    letters = spark.read.parquet(f"{folder}/unsent").collect()
+    assert [(r.product_id, r.error) for r in letters] == [("a", "no value for: batch_id")]
+    land(p.landing, "7.json", [("bad", "{bad")])
+    assert p.run(files_per_batch=10) == 4
+    # the first sent wins, though its id is the largest
+    assert p.stored() == [("a", "z9")]
+    with pytest.raises(ValueError, match="records lack price"):
+        msg.publish(sent.drop("price"), p.landing, f"{folder}/unsent", 2)
+
+
+def test_dead_letters_name_the_message(spark, folder):
+    batch = spark.createDataFrame([("7-1", "i", "b", "s", "t", "[1]")], LANDED)
+    ingest.load_batch(batch, 0, f"{folder}/raw", f"{folder}/dead")
+    assert ingest.dead_letter_table(spark, f"{folder}/dead").first().original_msg_id == "7-1"
+
+
+def test_a_batch_without_a_field_is_refused(spark, folder):
+    batch = spark.createDataFrame([("i", "b", "s", "t")], "ingestion_id string, batch_id string, source string, collected_at string")
+    with pytest.raises(ValueError, match="messages lack payload"):
+        ingest.load_batch(batch, 0, f"{folder}/raw", f"{folder}/dead")
+    assert not os.path.exists(f"{folder}/raw")
+
+
+def test_compacted_raw_table_holds_the_same_rows(spark, folder):
+    p = Ingest(spark, folder)
+    for n in range(3):
+        land(p.landing, f"{n}.json", [(f"i{n}", product(f"p{n}"))])
+    p.run()
+    ingest.compact_raw(spark, p.raw, f"{folder}/compact")
+    assert len([f for _, _, names in os.walk(f"{folder}/compact") for f in names if f.endswith(".parquet")]) == 1
+    before, p.raw = p.stored(), f"{folder}/compact"
+    assert p.stored() == before
+
+
 def test_a_batch_tried_again_replaces_itself(spark, folder):
     raw, dead = f"{folder}/raw", f"{folder}/dead"
     rows = [(f"i{n}", "b", "s", "t", json.dumps({**product("a"), "ingestion_id": f"i{n}"})) for n in range(3)]
@@ -129,6 +188,16 @@ def test_window_tables_equal_batch_and_drop_what_is_too_late(spark, folder):
     assert run(hourly_counts, "hours", "2 hours")["2024-01-01 10:00:00"].n == 3
     last = run(daily_prices, "days", "30 days")["2024-01-01 00:00:00"]
     assert (last.total_observations, float(last.max_price), float(last.min_price)) == (4, 40.0, 10.0)
+    table = f"{folder}/days"
+    for _ in range(2):
+        before = sorted(map(tuple, window_table(spark, table).collect()))
+        compact_windows(spark, table)
+        assert sorted(map(tuple, window_table(spark, table).collect())) == before
+        assert len([d for d in os.listdir(table) if d.startswith("epoch=")]) == 1
+    landed_rows(spark, folder, "in", [("f", "2024-01-01 10:21:00", "50")])
+    assert run(daily_prices, "days", "30 days")["2024-01-01 00:00:00"].total_observations == 5
+    compact_windows(spark, table)
+    assert window_table(spark, table).agg(F.sum("total_observations")).first()[0] == 5
 
 
 def test_drain_gives_up(spark, folder):

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrine.catalog import loading, marts, parsing, quality, reports, streams
-from vitrine.session import use_small_methods
 
 Query = Callable[[SparkSession, str], DataFrame]
 _MODULES = [marts, parsing, loading, reports, quality, streams]
@@ -21,7 +20,6 @@ def _registered(query: Query) -> Query:
 
     @wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        use_small_methods(spark)
         result = query(spark, folder)
         decimals = {
             f.name: F.col(f.name).cast("double") for f in result.schema if isinstance(f.dataType, T.DecimalType)

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.catalog.sql import OBS, RAW, money
-from vitrine.operators.keyed import append_outcomes, append_unseen, first_per_key
-from vitrine.operators.partitioning import spread
+from vitrine.operators.keyed import append_outcomes, append_unseen, first_per_key, merge_on_key
+from vitrine.operators.partitioning import as_asked
 from vitrine.operators.ranks import observation_ranks as ranks
 from vitrine.plans.facts import newer_rows, upserted
 from vitrine.plans.reports import latest_per_product as latest
@@ -19,6 +19,7 @@ from vitrine.sources.listings import batch_stamp
 from vitrine.sources.listings import pages_until_empty as before_empty_page
 
 LOADED_UNTIL = "2001-01-01"
+CORRECTED_FROM = "2000-07-01"
 
 
 def dedup_latest(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,20 +80,30 @@ def incremental_upsert(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def keyed_correction(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices corrected for keys that are there already, and new keys added; counted per collection date."""
+    rows, loaded = _staged_and_loaded(spark, folder)
+    late = F.col("collection_date") > F.lit(CORRECTED_FROM).cast("date")
+    corrected = rows.filter(late).withColumn("price", (F.col("price") + 1).cast("decimal(12,2)"))
+    return (
+        merge_on_key(loaded, corrected, KEY)
+        .groupBy("collection_date")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("price") * 100).cast("bigint")).alias("price_cents"))
+    )
+
+
 def _messages(spark: SparkSession, folder: str) -> DataFrame:
-    return st.event_messages(spread(st.table(spark, folder, "events")))
+    return st.event_messages(as_asked(st.table(spark, folder, "events")))
 
 
 def dead_letter_split(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = msg.parsed(_messages(spark, folder))
-    good = msg.loadable(parsed).select(F.lit("record").alias("sink"), F.lit(None).cast("string").alias("error"), "price")
-    refused = msg.dead_letters(parsed).select(
-        F.lit("dead letter").alias("sink"), "error", F.lit(None).cast("decimal(12,2)").alias("price")
-    )
+    """Messages per sink and cause; each payload is parsed once."""
+    sink = F.when(F.col("error").isNull(), "record").otherwise("dead letter")
+    cents = F.when(F.col("error").isNull(), (F.col("record.price") * 100).cast("bigint"))
     return (
-        good.unionByName(refused)
-        .groupBy("sink", "error")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("price") * 100).cast("bigint")).alias("price_cents"))
+        msg.parsed(_messages(spark, folder))
+        .groupBy(sink.alias("sink"), "error")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(cents).alias("price_cents"))
     )
 
 
@@ -140,7 +151,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         dedup_latest, observation_ranks, latest_per_product, idempotent_append, append_outcome_counts,
-        incremental_new_rows, incremental_upsert, dead_letter_split, dead_letter_rows, message_totals,
+        incremental_new_rows, incremental_upsert, keyed_correction, dead_letter_split, dead_letter_rows, message_totals,
         publish_envelope, pages_until_empty, batch_hour_counts,
     ]
 }
@@ -194,6 +205,11 @@ from u where collected_at > (select max(collected_at) from u where collection_da
 with {_UNIQUE}
 select collection_date, count(*) as n,
   cast(sum(case when collection_date > date '{LOADED_UNTIL}' then cents + 100 else cents end) as bigint) as price_cents
+from u group by 1""",
+    "keyed_correction": f"""
+with {_UNIQUE}
+select collection_date, count(*) as n,
+  cast(sum(case when collection_date > date '{CORRECTED_FROM}' then cents + 100 else cents end) as bigint) as price_cents
 from u group by 1""",
     "dead_letter_split": f"""
 with m as (select *, {_VERDICT} as error from events)

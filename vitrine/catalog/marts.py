@@ -81,13 +81,14 @@ def observation_union(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def row_count_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of every layer.  Staging is stored once and read by all that follows."""
+    """Rows of every layer, each stored before it is counted."""
     raw = raw_products(spark, folder)
     history = observations(spark, folder).filter("seed_flag")
-    stage = materialise_table(staged(raw), scratch_folder(spark, "staging"))
-    fact = facts(stage)
-    rebuilt = daily_run.rebuilt_marts(fact, stage, history)
-    return daily_run.layers(raw, stage, fact, rebuilt).audit()
+    home = scratch_folder(spark, "layers")
+    raw = materialise_table(raw, f"{home}/raw")
+    stage = materialise_table(staged(raw), f"{home}/stg_products")
+    fact = materialise_table(facts(stage), f"{home}/fct_products")
+    return daily_run.layers(raw, stage, fact, daily_run.stored_marts(fact, stage, history, home)).audit()
 
 
 QUERIES = {

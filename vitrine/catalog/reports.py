@@ -15,11 +15,11 @@ from vitrine.sources.sales_tables import live_facts
 
 AS_OF = date(2001, 11, 5)
 BRANDS = [f"Brand#{i}" for i in (1, 3, 4, 8, 12, 17, 21)]
-EVERYTHING = MarketFilter(as_of=AS_OF, period_days=1500)
+UP_TO_15000 = MarketFilter(as_of=AS_OF, period_days=1500, max_price=15000)
 CHOSEN = MarketFilter(
     as_of=AS_OF, period_days=1500, min_price=500, max_price=8000, condition="new", brands=BRANDS
 )
-BRAND_CHOICE = MarketFilter(as_of=AS_OF, brands=BRANDS)
+BRAND_CHOICE = MarketFilter(as_of=AS_OF, max_price=15000, brands=BRANDS)
 
 
 def filtered_kpis(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,11 +31,11 @@ def filtered_histogram(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def filtered_condition_mix(spark: SparkSession, folder: str) -> DataFrame:
-    return rep.filtered_condition_mix(live_facts(spark, folder), EVERYTHING)
+    return rep.filtered_condition_mix(live_facts(spark, folder), UP_TO_15000)
 
 
 def filtered_shipping_mix(spark: SparkSession, folder: str) -> DataFrame:
-    return rep.filtered_shipping_mix(live_facts(spark, folder), EVERYTHING)
+    return rep.filtered_shipping_mix(live_facts(spark, folder), UP_TO_15000)
 
 
 def filtered_shipping_price(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,15 +47,15 @@ def brand_list(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def group_gaps(spark: SparkSession, folder: str) -> DataFrame:
-    return rep.group_gaps(live_facts(spark, folder), EVERYTHING)
+    return rep.group_gaps(live_facts(spark, folder), UP_TO_15000)
 
 
 def peak_bucket(spark: SparkSession, folder: str) -> DataFrame:
-    return rep.peak_bucket(rep.filtered_histogram(live_facts(spark, folder), EVERYTHING))
+    return rep.peak_bucket(rep.filtered_histogram(live_facts(spark, folder), UP_TO_15000))
 
 
 def top_brands(spark: SparkSession, folder: str) -> DataFrame:
-    return rep.top_brands(live_facts(spark, folder), EVERYTHING)
+    return rep.top_brands(live_facts(spark, folder), UP_TO_15000)
 
 
 def top_value_brands(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,7 +72,7 @@ def trend_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def discount_scatter(spark: SparkSession, folder: str) -> DataFrame:
-    return rep.discount_scatter(live_facts(spark, folder), EVERYTHING)
+    return rep.discount_scatter(live_facts(spark, folder), UP_TO_15000)
 
 
 def discount_trend_ma5(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,11 +80,11 @@ def discount_trend_ma5(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def discount_ratings_corr(spark: SparkSession, folder: str) -> DataFrame:
-    return rep.discount_ratings_corr(live_facts(spark, folder), EVERYTHING)
+    return rep.discount_ratings_corr(live_facts(spark, folder), UP_TO_15000)
 
 
 def series_since(spark: SparkSession, folder: str) -> DataFrame:
-    return rep.series_since(price_evolution(spark, folder), EVERYTHING.cutoff)
+    return rep.series_since(price_evolution(spark, folder), UP_TO_15000.cutoff)
 
 
 def period_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,7 +100,7 @@ QUERIES = {
     ]
 }
 
-_SINCE = f"collected_at >= timestamp '{EVERYTHING.cutoff}'"
+_SINCE = f"collected_at >= timestamp '{UP_TO_15000.cutoff}'"
 _IN_BRANDS = "brand in (" + ", ".join(f"'{b}'" for b in BRANDS) + ")"
 _ALL = f"{OBS}, f as (select * from obs where not seed_flag and cents between 1 and 1500000 and {_SINCE})"
 _SOME = f"""{OBS}, f as (
@@ -133,7 +133,7 @@ order by abs(v.price_variation_pct) desc, v.product_id limit 30"""
 _SERIES = f"""
 select collection_date, avg_price, min_price, p25_price, p75_price, median_price, avg_discount_pct,
   avg_price_pct_change, total_observations, only_seed_data
-from {_nested('price_evolution')} where collection_date >= date '{EVERYTHING.cutoff}'"""
+from {_nested('price_evolution')} where collection_date >= date '{UP_TO_15000.cutoff}'"""
 
 ORACLES = {
     "filtered_kpis": f"""

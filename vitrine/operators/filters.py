@@ -16,7 +16,7 @@ class MarketFilter:
     as_of: date
     period_days: int = 7
     min_price: int = 0
-    max_price: int = 15000
+    max_price: int | None = None
     condition: str | None = None
     brands: list[str] = field(default_factory=list)
 
@@ -27,9 +27,11 @@ class MarketFilter:
     def predicate(self) -> Column:
         chosen = (
             (F.col("price") > 0)
-            & F.col("price").between(self.min_price, self.max_price)
+            & (F.col("price") >= self.min_price)
             & (F.col("collected_at") >= F.lit(self.cutoff))
         )
+        if self.max_price is not None:
+            chosen = chosen & (F.col("price") <= self.max_price)
         if self.condition is not None:
             chosen = chosen & (F.col("condition") == self.condition)
         if self.brands:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+SETTING = "spark.vitrine.inputPartitions"
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deals a scan that Spark cannot split into enough tasks out to all cores.
 
-    A Parquet file with one row group or a compressed JSON file is one task,
-    and building and parsing text would run on one core.  Tables of many
-    splits are left alone.  Pruned columns and pushed filters still reach the
-    scan.
+def as_asked(scan: DataFrame) -> DataFrame:
+    """A scan dealt out to as many partitions as the session asks for, or as it is if it asks for none.
+
+    For the case of a few files that cannot be split, such as a Parquet file
+    with one row group.  Tables of many splits need no setting.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    wanted = scan.sparkSession.conf.get(SETTING, None)
+    return scan.repartition(int(wanted)) if wanted else scan

@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.operators.quality import rule_report, run_status
 from vitrine.plans import marts
 from vitrine.plans.audit import row_counts
-from vitrine.plans.facts import facts, read_facts, upsert_facts, write_facts
+from vitrine.plans.facts import facts, read_facts, upsert_facts
 from vitrine.plans.staging import staged
-from vitrine.sources.tables import exists, materialise_table
+from vitrine.sources.tables import materialise_table
 
 
 @dataclass
 class Layers:
-    """The tables of a run by layer name."""
+    """The stored tables of a run by layer name, and its stored quality report."""
 
     tables: dict[str, DataFrame]
+    report: DataFrame | None = None
 
     def audit(self) -> DataFrame:
         return row_counts(self.tables)
 
     def quality(self) -> DataFrame:
+        if self.report is not None:
+            return self.report
         return rule_report(
             self.tables["staging.stg_products"],
             self.tables["marts.fct_products"],
@@ -67,15 +70,17 @@ def layers(raw: DataFrame, stage: DataFrame, fact: DataFrame, rebuilt: dict[str,
 
 
 def run(spark: SparkSession, raw: DataFrame, history: DataFrame, home: str) -> Layers:
-    """Builds and stores every layer below ``home``; facts are added to, marts are rebuilt."""
-    stage = staged(raw)
+    """Builds and stores every layer below ``home``: staging once, facts added to, marts and report rebuilt."""
+    stage = materialise_table(staged(raw), f"{home}/stg_products")
     fact_path = f"{home}/fct_products"
-    if exists(spark, fact_path):
-        upsert_facts(spark, fact_path, facts(stage))
-    else:
-        write_facts(facts(stage), fact_path)
+    upsert_facts(spark, fact_path, facts(stage))
     fact = read_facts(spark, fact_path)
-    rebuilt = {
+    rebuilt = stored_marts(fact, stage, history, home)
+    done = layers(raw, stage, fact, rebuilt)
+    return replace(done, report=materialise_table(done.quality(), f"{home}/quality"))
+
+
+def stored_marts(fact: DataFrame, stage: DataFrame, history: DataFrame, home: str) -> dict[str, DataFrame]:
+    return {
         name: materialise_table(mart, f"{home}/{name}") for name, mart in rebuilt_marts(fact, stage, history).items()
     }
-    return layers(raw, stage, fact, rebuilt)

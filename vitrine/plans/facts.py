@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.labels import bucket_end, bucket_start, price_segment
 from vitrine.operators.keyed import merge_on_key
-from vitrine.schemas import FACT_COLUMNS, KEY
+from vitrine.schemas import FACT_COLUMNS, KEY, missing_fields
+from vitrine.sources.tables import exists
 
 
 def value_score(rating: Column, num_ratings: Column, price: Column) -> Column:
@@ -47,44 +48,67 @@ def newer_rows(candidates: DataFrame, loaded: DataFrame) -> DataFrame:
 
 
 def upserted(loaded: DataFrame, candidates: DataFrame, keys: list[str] = KEY) -> DataFrame:
-    """The fact set after one incremental run."""
-    return merge_on_key(loaded, newer_rows(candidates, loaded), keys)
+    """The fact set after one incremental run.
+
+    A key with the instant in it can't be there already, because new rows are
+    later than all loaded ones; other keys are merged.
+    """
+    fresh = newer_rows(candidates, loaded)
+    return loaded.unionByName(fresh) if "collected_at" in keys else merge_on_key(loaded, fresh, keys)
+
+
+def loads_path(path: str) -> str:
+    """Beside the fact table: one row per finished load, with the latest instant it holds."""
+    return f"{path}_loads"
+
+
+def finished_loads(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", True).parquet(loads_path(path))
 
 
-def write_facts(df: DataFrame, path: str) -> None:
-    """Writes by collection date, replacing only the dates present in ``df``.
+def write_facts(df: DataFrame, path: str, load: int = 0) -> None:
+    """Adds ``df`` as one load, and then the load's row to the table of loads.
 
-    The rebalance hint lets adaptive execution split a heavy date over many
-    files and pack small ones together.
+    Each load has folders of its own below its collection dates, so that no
+    file that is read is ever replaced; a load that was broken off isn't listed
+    and is replaced by the next try.  The rebalance hint lets adaptive execution
+    split a heavy date over many files and pack small ones together.
     """
+    lacking = missing_fields(df.schema, FACT_COLUMNS)
+    if lacking:
+        raise ValueError(f"facts lack {', '.join(lacking)}")
     (
-        df.hint("rebalance", "collection_date")
+        df.withColumn("load", F.lit(load).cast("bigint"))
+        .hint("rebalance", "collection_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("collection_date")
+        .partitionBy("collection_date", "load")
         .parquet(path)
     )
+    written = df.sparkSession.read.schema(df.withColumn("load", F.lit(0).cast("bigint")).schema).parquet(path)
+    (
+        written.filter(F.col("load") == load)
+        .agg(F.max("collected_at").alias("watermark"))
+        .withColumn("load", F.lit(load).cast("bigint"))
+        .write.mode("overwrite")
+        .parquet(f"{loads_path(path)}/{load:012d}")
+    )
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*FACT_COLUMNS)
-
-
-def latest_loaded(spark: SparkSession, path: str) -> DataFrame:
-    """The newest partition: the only one the high watermark needs to read."""
-    loaded = read_facts(spark, path)
-    newest = loaded.agg(F.max("collection_date").alias("d")).scalar()
-    return loaded.filter(F.col("collection_date") == newest)
+    """The rows of all finished loads."""
+    done = finished_loads(spark, path).select("load")
+    return spark.read.parquet(path).join(done, "load", "left_semi").select(*FACT_COLUMNS)
 
 
 def upsert_facts(spark: SparkSession, path: str, candidates: DataFrame) -> None:
-    """One incremental run against a fact table on disk.
+    """One incremental run against a fact table on disk, or its first load.
 
-    New rows are later than everything loaded, so of the existing partitions
-    only the newest can receive any.  It is the only one read, and it is
-    rewritten only if it does.
+    The high watermark comes from the table of loads; no fact is read.
     """
-    newest = latest_loaded(spark, path)
-    fresh = newer_rows(candidates, newest)
-    affected = newest.join(fresh.select("collection_date").distinct(), "collection_date", "left_semi")
-    write_facts(merge_on_key(affected.select(*FACT_COLUMNS), fresh, KEY), path)
+    if not exists(spark, loads_path(path)):
+        write_facts(candidates, path)
+        return
+    loads = finished_loads(spark, path)
+    last = loads.agg(F.max("load")).first()[0]
+    write_facts(newer_rows(candidates, loads.select(F.col("watermark").alias("collected_at"))), path, last + 1)

@@ -242,7 +242,7 @@ def top_price_moves(variation: DataFrame, facts: DataFrame, chosen: MarketFilter
     moves = variation.filter("num_observations >= 2").drop("title", "brand")
     return (
         moves.join(latest.select("product_id", "title", "brand"), "product_id")
-        .orderBy(F.abs("price_variation_pct").desc_nulls_last(), "product_id")
+        .orderBy(F.abs("price_variation_pct").desc_nulls_first(), "product_id")
         .limit(limit)
         .filter(chosen.of_brands(F.col("brand")))
         .select(
@@ -260,7 +260,8 @@ def trend_summary(moves: DataFrame) -> DataFrame:
     total = F.count(F.lit(1))
     falling = count_where(F.col("price_trend") == TREND_DOWN)
     rising = count_where(F.col("price_trend") == TREND_UP)
-    faller = F.min(F.struct("price_variation_pct", "product_id", "title"))
+    fallen = F.col("price_variation_pct").isNotNull()
+    faller = F.min(F.when(fallen, F.struct("price_variation_pct", "product_id", "title")))
     return moves.agg(
         total.alias("total"),
         falling.alias("falling"),

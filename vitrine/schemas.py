@@ -103,6 +103,9 @@ MESSAGE = _struct(
     ("payload", T.StringType()),
 )
 
+# As landed: with its place in the stream, which grows in the order of sending.
+LANDED = T.StructType([T.StructField("message_id", T.StringType()), *MESSAGE.fields])
+
 DEAD_LETTER = _struct(
     ("original_msg_id", T.StringType()),
     ("ingestion_id", T.StringType()),

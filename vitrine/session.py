@@ -25,18 +25,22 @@ def build_session(name: str = "vitrine", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.parquet.filterPushdown": "true",
-        "spark.sql.streaming.stateStore.providerClass": (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        ),
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     use_small_methods(spark)
+    keep_state_on_disk(spark)
     return spark
 
 
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Streaming state in RocksDB instead of the executors' heap; called wherever a stateful stream is built."""
+    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+
+
 def use_small_methods(spark: SparkSession) -> None:
     """Keeps generated code within what the JIT compiles.
 

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from vitrine.functions.text import is_free_shipping, parse_price, parse_rating
 from vitrine.schemas import DEFAULT_CURRENCY, MONEY, PERCENT, RATING, RECORD, SEARCH_PAGE, SOURCE_NAME
 
+# Shares that a batch's pages are joined in.
+SALTS = 16
+
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed search pages, one JSON document per file."""
@@ -24,15 +27,18 @@ def pages_until_empty(
 ) -> DataFrame:
     """Pages of each batch before its first empty one, up to ``max_pages``.
 
-    The cut is one row per batch from a partial aggregate, so a heavy batch is
-    neither sorted nor gathered.
+    The cut is one row per batch from a partial aggregate.  It is repeated for
+    each of SALTS shares of a batch's pages, so that the join deals a heavy
+    batch out to as many tasks.
     """
     numbered = pages if max_pages is None else pages.filter(F.col(page) <= max_pages)
     cuts = numbered.filter(is_empty).groupBy(batch).agg(F.min(page).alias("_first_empty"))
+    salted = cuts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return (
-        numbered.join(cuts, batch, "left")
+        numbered.withColumn("_salt", F.pmod(F.hash(page), F.lit(SALTS)))
+        .join(salted, [batch, "_salt"], "left")
         .filter(F.col("_first_empty").isNull() | (F.col(page) < F.col("_first_empty")))
-        .drop("_first_empty")
+        .select(*pages.columns)
     )
 
 

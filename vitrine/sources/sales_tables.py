@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from vitrine.functions import first_case
 from vitrine.functions.labels import bucket_end, bucket_start, grouped_int, price_segment
 from vitrine.functions.numeric import from_units
-from vitrine.operators.partitioning import spread
+from vitrine.operators.partitioning import as_asked
 from vitrine.plans.facts import value_score
 from vitrine.schemas import MONEY, PERCENT, RATING, SOURCE_NAME
 from vitrine.sources.listings import batch_stamp
@@ -37,9 +37,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def observed_lines(spark: SparkSession, folder: str, textual: bool = True) -> DataFrame:
-    """Lines with their amounts; spread out when text is to be built from them."""
+    """Lines with their amounts; dealt out on request when text is to be built from them."""
     lines = table(spark, folder, "lineitem")
-    return _with_amounts(spread(lines) if textual else lines)
+    return _with_amounts(as_asked(lines) if textual else lines)
 
 
 def _with_amounts(lines: DataFrame) -> DataFrame:

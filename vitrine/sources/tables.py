@@ -13,6 +13,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a table folder."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
     """The history seed: CSV with header and declared types."""
     return spark.read.schema(SEED).option("header", True).csv(path)

@@ -8,6 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vitrine.functions.numeric import PRICE_SCALE, mean
 from vitrine.operators.keyed import first_per_key
+from vitrine.session import keep_state_on_disk
+from vitrine.sources.tables import remove
 
 
 def utc_instant(local: Column) -> Column:
@@ -58,6 +60,7 @@ def start_window_table(windows: DataFrame, folder: str, checkpoint: str) -> Stre
             .parquet(folder)
         )
 
+    keep_state_on_disk(windows.sparkSession)
     return (
         windows.writeStream.outputMode("update")
         .foreachBatch(write)
@@ -68,5 +71,31 @@ def start_window_table(windows: DataFrame, folder: str, checkpoint: str) -> Stre
 
 
 def window_table(spark: SparkSession, folder: str) -> DataFrame:
-    """The current state: the newest epoch of every window."""
-    return first_per_key(spark.read.parquet(folder), ["window_start"], [F.col("epoch").desc()]).drop("epoch")
+    """The current state: the newest epoch of every window; a merged one counts as the last it holds."""
+    as_of = F.when(F.col("epoch") < 0, -F.col("epoch") - 1).otherwise(F.col("epoch"))
+    return first_per_key(spark.read.parquet(folder), ["window_start"], [as_of.desc(), F.col("epoch")]).drop("epoch")
+
+
+def compact_windows(spark: SparkSession, folder: str) -> None:
+    """Merges all epochs into one, so that reading takes as many files as the windows need.
+
+    The merged state of the epochs up to n is written as epoch -n - 1 and stands
+    for n; only then the others go.  Broken off in between, both say the same.
+    """
+    epochs = [r["epoch"] for r in spark.read.parquet(folder).select("epoch").distinct().collect()]
+    latest = max(-e - 1 if e < 0 else e for e in epochs)
+    merged = -latest - 1
+    if epochs == [merged]:
+        return
+    if merged not in epochs:
+        (
+            window_table(spark, folder)
+            .withColumn("epoch", F.lit(merged).cast("bigint"))
+            .hint("rebalance")
+            .write.mode("append")
+            .partitionBy("epoch")
+            .parquet(folder)
+        )
+    for epoch in epochs:
+        if epoch != merged:
+            remove(spark, f"{folder}/epoch={epoch}")
