@@ -12,23 +12,29 @@ def components(edges: DataFrame) -> DataFrame:
     """node and label, the smallest node it is connected to, for every node of ``edges`` (a, b).
 
     Each round hangs every node's larger neighbours, and then its smaller ones,
-    on the smallest node it knows, until nothing changes.  Minima are aggregated
-    before the shuffle and stored, so that the join with the edges of a node with
-    very many of them is between two plain shuffles, which Spark can split.
+    on the smallest node it knows, until every node hangs on a root; edges that
+    are stars already take no round.  Minima are aggregated before the shuffle
+    and stored, so that the join with the edges of a node with very many of them
+    is between two plain shuffles, which Spark can split.
     """
-    edges = stored(edges.filter("a <> b").select("a", "b").distinct(), "edges")
-    state = None
-    while True:
+    pairs = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = stored(pairs.distinct(), "edges")
+    while not _are_stars(edges):
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         edges = _hung(both, F.col("b") > F.col("a"))
         down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        edges = stored(_hung(down, F.lit(True)), "edges")
-        found = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if found == state:
-            break
-        state = found
+        edges = stored(_hung(down, F.lit(True)).distinct(), "edges")
     labels = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    return labels.unionAll(edges.select("b", "b")).distinct()
+    return labels.unionAll(edges.select("b", "b").distinct())
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node has one edge down, and none if an edge leads to it."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionAll(
+        edges.select("b", F.lit(0), F.lit(1))
+    )
+    sums = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return sums.filter("down > 1 OR (down = 1 AND up = 1)").isEmpty()
 
 
 def _hung(edges: DataFrame, which) -> DataFrame:
@@ -36,4 +42,4 @@ def _hung(edges: DataFrame, which) -> DataFrame:
     least = stored(edges.groupBy("a").agg(F.least("a", F.min("b")).alias("least")), "least")
     hung = edges.filter(which).join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
     own = least.select("a", F.col("least").alias("b"))
-    return hung.unionAll(own).filter("a <> b").distinct()
+    return hung.unionAll(own).filter("a <> b")

@@ -81,6 +81,14 @@ class PrefixTree:
             if look_up is None:
                 self._insert(i)
 
+    def stars(self, look_up: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The same connections as pairs of a set and the first set it is connected to."""
+        for _ in self.links(look_up):
+            pass
+        first = np.array([self.groups.find(i) for i in range(len(self.sets))], np.int64)
+        others = np.flatnonzero(first != np.arange(len(first)))
+        return others, first[others]
+
     def _find(self, i: int) -> Iterator[tuple[int, int]]:
         own, size, groups = self.sets[i], self.sizes[i], self.groups
         self.present[own] = True

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from vitrine.llm.exchange import among, answer, ask, dealt, distinct, entries, finish, known, parts_of, send
+from vitrine.llm.exchange import among, answer, ask, buckets_of, dealt, distinct, entries, finish, known, send
 from vitrine.llm.words import BLANK_SEPARATED, blocks, covered, find_words, text_bytes, windows
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_text string"
@@ -48,7 +48,7 @@ def remove_repeated_words(docs: DataFrame, window: int = 13, first: int | None =
     question, and 96 at the full length, where one would remove a window.
     """
     lengths = levels(window, first)
-    buckets = parts_of(docs)
+    buckets = buckets_of(docs)
     dealt_docs = dealt(docs, "doc_id", "text")
     answers = None
     for n, length in enumerate(lengths):

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.llm.components import components
-from vitrine.llm.exchange import SENT, answer, ask, as_table, dealt, distinct, entries, parts_of, send
+from vitrine.llm.exchange import SENT, answer, as_table, ask, buckets_of, dealt, distinct, entries, send
 from vitrine.llm.prefix_tree import PrefixTree
 from vitrine.llm.scratch import stored
 from vitrine.llm.words import BLANK_SEPARATED, blocks, find_words, mixed, text_bytes, windows
@@ -90,7 +90,7 @@ def _key():
 
 def _groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """key, n_shingles and component of each row."""
-    buckets = parts_of(docs)
+    buckets = buckets_of(docs)
     texts = dealt(docs, "doc_id", "text").withColumn("key", _key())
     counted = ask(texts, None, *_token_counts(words, percent, buckets))
     answers = counted.unionAll(ask(texts, counted, *_pivots(words, percent, buckets)))
@@ -156,16 +156,18 @@ def _sets(table: pa.Table, words: int) -> Sets:
         new = np.ones(len(own), bool)
         new[1:] = (own[1:] != own[:-1]) | (doc[1:] != doc[:-1])
         tokens.append(own[new])
-        docs.append(doc[new] + a)
+        docs.append((doc[new] + a).astype(np.int32))
+    # places as 32-bit numbers: a part has far fewer tokens than they reach
     tokens = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
-    doc = np.concatenate(docs) if docs else np.zeros(0, np.int64)
+    doc = np.concatenate(docs) if docs else np.zeros(0, np.int32)
     sizes = np.bincount(doc, minlength=len(offsets) - 1).astype(np.int64)
-    order = np.argsort(tokens, kind="stable")
+    order = np.argsort(tokens, kind="stable").astype(np.int32)
     ranked = tokens[order] >> _TOP
     new = np.ones(len(ranked), bool)
     new[1:] = ranked[1:] != ranked[:-1]
-    group = np.empty(len(tokens), np.int64)
-    group[order] = np.cumsum(new) - 1
+    del ranked
+    group = np.empty(len(tokens), np.int32)
+    group[order] = np.cumsum(new, dtype=np.int32) - 1
     prints, checks = np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64)
     some = np.flatnonzero(sizes)
     if len(some):
@@ -270,9 +272,9 @@ def _placed(own: Sets, got: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def _prefixes(own: Sets, classes: np.ndarray, first: np.ndarray, percent: int) -> np.ndarray:
     """Places of the tokens that a similar set must share one of, for the first row of each distinct set."""
-    order = np.lexsort((own.tokens, classes, own.doc))
-    starts = np.cumsum(own.sizes) - own.sizes
-    rank = np.arange(len(order)) - np.repeat(starts, own.sizes)
+    order = np.lexsort((own.tokens, classes, own.doc)).astype(np.int32)
+    starts = (np.cumsum(own.sizes) - own.sizes).astype(np.int32)
+    rank = np.arange(len(order), dtype=np.int32) - np.repeat(starts, own.sizes)
     length = own.sizes + (-percent * own.sizes) // 100 + 1
     leads = np.zeros(len(own.sizes), bool)
     here = np.flatnonzero((first == own.keys) & (own.sizes > 0))
@@ -396,10 +398,8 @@ def _joined(percent: int):
             for members in np.split(order, np.flatnonzero(np.diff(head["bin"][order])) + 1):
                 if len(members) > 1:
                     tree = PrefixTree([sets[m] for m in members], head["size"][members].tolist(), percent)
-                    pairs = list(tree.links())
-                    if pairs:
-                        a, b = np.array(pairs).T
-                        out.append(_rows(_EDGE, head["key"][members[a]], head["key"][members[b]]))
+                    others, first = tree.stars()
+                    out.append(_rows(_EDGE, head["key"][members[others]], head["key"][members[first]]))
         return pa.concat_tables(out)
 
     return run
@@ -467,10 +467,12 @@ def _look_up(percent: int):
         keys, asked = table.column("key").to_numpy(), table.column("asked").to_numpy(zero_copy_only=False)
         if not asked.any():
             return schema.empty_table()
+        table = table.take(pa.array(np.lexsort((asked, keys))))
+        keys, asked = table.column("key").to_numpy(), table.column("asked").to_numpy(zero_copy_only=False)
         sets = [np.frombuffer(t, np.uint64) for t in table.column("tokens").to_pylist()]
         tree = PrefixTree(sets, table.column("n").to_pylist(), percent)
-        pairs = list(tree.links(np.flatnonzero(asked).tolist()))
-        edges = [(int(keys[a]), int(keys[b])) for a, b in pairs if keys[a] != keys[b]]
-        return pa.Table.from_pylist([{"a": a, "b": b} for a, b in edges], schema=schema)
+        others, first = tree.stars(np.flatnonzero(asked).tolist())
+        real = keys[others] != keys[first]
+        return pa.table([pa.array(keys[others[real]]), pa.array(keys[first[real]])], schema=schema)
 
     return run

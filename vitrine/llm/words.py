@@ -143,5 +143,12 @@ def windows(words: Words, length: int, salt: int = 0) -> tuple[np.ndarray, np.nd
 
 def covered(starts: np.ndarray, length: int | np.ndarray, size: int) -> np.ndarray:
     """Which of ``size`` positions lie in one of the runs of ``length`` from ``starts``."""
-    steps = np.bincount(starts, minlength=size + 1) - np.bincount(starts + length, minlength=size + 1)[: size + 1]
-    return np.cumsum(steps)[:size] > 0
+    order = np.argsort(starts, kind="stable")
+    begin = starts[order]
+    reach = np.maximum.accumulate((starts + length)[order]) if len(order) else begin
+    opens = np.ones(len(begin), bool)
+    opens[1:] = begin[1:] > reach[:-1]
+    steps = np.zeros(size + 1, np.int8)
+    steps[begin[opens]] = 1
+    steps[reach[np.append(np.flatnonzero(opens)[1:], len(begin)) - 1] if len(begin) else begin] = -1
+    return np.cumsum(steps[:size], dtype=np.int8) > 0
