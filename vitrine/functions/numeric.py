@@ -34,11 +34,15 @@ def from_units(col: Column, scale: int) -> Column:
 
 def mean(col: Column, scale: int, digits: int) -> Column:
     """``round(avg(col), digits)`` over the non-null values, NULL when there are none."""
-    total = F.sum(units(col, scale)).cast("decimal(19,0)")
+    return mean_of(F.sum(units(col, scale)), F.count(col), scale, digits)
+
+
+def mean_of(total: Column, count: Column, scale: int, digits: int) -> Column:
+    """The same from a sum of units and a count."""
+    total = total.cast("decimal(19,0)")
     if scale:
         total = total * F.lit(Decimal(1).scaleb(-scale))
-    count = F.count(col).cast("decimal(13,0)")
-    return F.round(F.try_divide(total, count), digits).cast(f"decimal(14,{digits})")
+    return F.round(F.try_divide(total, count.cast("decimal(13,0)")), digits).cast(f"decimal(14,{digits})")
 
 
 def share(part: Column, whole: Column, digits: int = 2) -> Column:

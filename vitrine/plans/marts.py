@@ -7,6 +7,8 @@ Windows only ever run over aggregated rows (days, brands, price buckets).
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,11 +16,13 @@ from vitrine.functions.labels import (
     bucket_end, bucket_label, bucket_start, discount_band, shipping_label, trend_label,
 )
 from vitrine.functions.numeric import (
-    DISCOUNT_SCALE, PRICE_SCALE, RATING_SCALE, cents, count_where, from_units, half_up, mean, pct_change, share,
+    DISCOUNT_SCALE, PRICE_SCALE, RATING_SCALE, cents, count_where, from_units, half_up, mean, mean_of, pct_change,
+    share, units,
 )
 from vitrine.functions.statistics import pearson
 from vitrine.functions.text import parse_sales_volume
 from vitrine.operators.percentiles import combine_groups, exact_percentiles
+from vitrine.schemas import MONEY
 
 OBSERVATION_COLUMNS = [
     "product_id", "title", "brand", "condition", "price", "original_price", "discount_pct",
@@ -26,6 +30,7 @@ OBSERVATION_COLUMNS = [
     "sales_volume", "collected_at", "seed_flag",
 ]
 PRICE_CAP = 15000
+PACKED_PRICES = Decimal(10) ** 13
 UNKNOWN_BRAND = "Sem marca identificada"
 QUARTILES = {"median_price": 0.5, "p25_price": 0.25, "p75_price": 0.75}
 
@@ -128,23 +133,35 @@ def condition_distribution(observations: DataFrame) -> DataFrame:
 
 
 def free_shipping_mix(observations: DataFrame) -> DataFrame:
-    """Free against paid shipping, per condition and overall, from one pass."""
-    grouped = (
+    """Free against paid shipping, per condition and overall.
+
+    The rows are summed up once by condition and shipping; the overall rows come
+    from those few sums.
+    """
+    fine = (
         _priced(observations)
-        .groupingSets(
-            [[F.col("condition"), F.col("free_shipping")], [F.col("free_shipping")]],
-            F.col("condition"),
-            F.col("free_shipping"),
-        )
+        .groupBy("condition", "free_shipping")
         .agg(
-            (F.grouping_id() > 0).alias("overall"),
-            F.count(F.lit(1)).alias("total_products"),
-            _avg_price().alias("avg_price"),
-            F.min("price").alias("min_price"),
-            F.max("price").alias("max_price"),
-            _avg_discount().alias("avg_discount_pct"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum(cents(F.col("price"))).alias("price_sum"),
+            F.min("price").alias("low"),
+            F.max("price").alias("high"),
+            F.sum(units(F.col("discount_pct"), DISCOUNT_SCALE)).alias("discount_sum"),
+            F.count("discount_pct").alias("discount_n"),
         )
     )
+    grouped = fine.groupingSets(
+        [[F.col("condition"), F.col("free_shipping")], [F.col("free_shipping")]],
+        F.col("condition"),
+        F.col("free_shipping"),
+    ).agg(
+        (F.grouping_id() > 0).alias("overall"),
+        F.sum("n").alias("total_products"),
+        mean_of(F.sum("price_sum"), F.sum("n"), PRICE_SCALE, 2).alias("avg_price"),
+        F.min("low").alias("min_price"),
+        F.max("high").alias("max_price"),
+        mean_of(F.sum("discount_sum"), F.sum("discount_n"), DISCOUNT_SCALE, 2).alias("avg_discount_pct"),
+    )
     peers = Window.partitionBy("overall", "condition")
     paid_avg = F.max(F.when(~F.col("free_shipping"), F.col("avg_price"))).over(peers)
     return grouped.select(
@@ -216,30 +233,50 @@ def price_evolution(observations: DataFrame) -> DataFrame:
 def price_variation(observations: DataFrame) -> DataFrame:
     """First against last price of every product seen at least twice.
 
-    Rows of one instant are ordered by price.  First and last come out of the
-    same partial aggregate as the other measures, without ranking the rows.
+    Rows of one instant are ordered by price.  Instant and price are packed into
+    one number, so that all measures have a fixed width and the rows are
+    aggregated by hashing, without a sort.  They are grouped by title and brand
+    as well; the largest of those come from the few groups of a product.
     """
-    at_price = F.struct("collected_at", "price")
-    per_product = (
+    micros = F.unix_micros(F.col("collected_at").cast("timestamp")).cast("decimal(20,0)")
+    packed = (micros * F.lit(PACKED_PRICES) + cents(F.col("price")).cast("decimal(13,0)")).cast("decimal(38,0)")
+    per_title = (
         _priced(observations)
-        .groupBy("product_id")
+        .groupBy("product_id", "title", "brand")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("collected_at").alias("first_seen_at"),
+            F.max("collected_at").alias("last_seen_at"),
+            F.min(packed).alias("first"),
+            F.max(packed).alias("last"),
+            F.sum(cents(F.col("price"))).alias("price_sum"),
+            F.min("price").alias("low"),
+        )
+    )
+    per_product = (
+        per_title.groupBy("product_id")
         .agg(
             F.max("title").alias("title"),
             F.max("brand").alias("brand"),
-            F.count(F.lit(1)).alias("num_observations"),
-            F.min(at_price).alias("first"),
-            F.max(at_price).alias("last"),
-            _avg_price().alias("avg_price"),
-            F.min("price").alias("min_price"),
+            F.sum("n").alias("num_observations"),
+            F.min("first_seen_at").alias("first_seen_at"),
+            F.max("last_seen_at").alias("last_seen_at"),
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+            mean_of(F.sum("price_sum"), F.sum("n"), PRICE_SCALE, 2).alias("avg_price"),
+            F.min("low").alias("min_price"),
         )
         .filter("num_observations >= 2")
     )
-    first, last = F.col("first.price"), F.col("last.price")
+    first, last = (
+        from_units(F.pmod(F.col(c), F.lit(PACKED_PRICES)).cast("bigint"), PRICE_SCALE).cast(MONEY)
+        for c in ("first", "last")
+    )
     return (
         per_product.select(
             "product_id", "title", "brand", "num_observations",
-            F.col("first.collected_at").alias("first_seen_at"),
-            F.col("last.collected_at").alias("last_seen_at"),
+            "first_seen_at",
+            "last_seen_at",
             first.alias("first_price"),
             last.alias("last_price"),
             "avg_price", "min_price",
