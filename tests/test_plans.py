@@ -21,10 +21,15 @@ def test_price_variation_hashes_the_rows(spark, small):
     assert first_sort < min(n for n, line in enumerate(lines) if "HashAggregate(keys=[product_id" in line)
 
 
-def test_shipping_mix_expands_groups_not_rows(spark, small):
-    lines = plan(spark, small, "free_shipping_mix")
+@pytest.mark.parametrize(("name", "key"), [("free_shipping_mix", "condition"), ("discount_buckets", "discount_bucket")])
+def test_sub_totals_expand_groups_not_rows(spark, small, name, key):
+    lines = plan(spark, small, name)
     expand = next(n for n, line in enumerate(lines) if "Expand" in line)
-    assert any("HashAggregate(keys=[condition" in line for line in lines[expand + 1 :])
+    assert any(f"HashAggregate(keys=[{key}" in line for line in lines[expand + 1 :])
+
+
+def test_overview_expands_nothing(spark, small):
+    assert not nodes(plan(spark, small, "market_overview"), "Expand")
 
 
 def test_payloads_are_parsed_once(spark, small):

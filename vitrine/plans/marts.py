@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.functions.labels import (
@@ -19,7 +19,7 @@ from vitrine.functions.numeric import (
     DISCOUNT_SCALE, PRICE_SCALE, RATING_SCALE, cents, count_where, from_units, half_up, mean, mean_of, pct_change,
     share, units,
 )
-from vitrine.functions.statistics import pearson
+from vitrine.functions.statistics import moments, pearson_of
 from vitrine.functions.text import parse_sales_volume
 from vitrine.operators.percentiles import combine_groups, exact_percentiles
 from vitrine.schemas import MONEY
@@ -69,13 +69,17 @@ def _pct_free_shipping():
 
 
 def market_overview(observations: DataFrame) -> DataFrame:
-    """One row of catalogue-wide indicators, also when there are no observations."""
+    """One row of catalogue-wide indicators, also when there are no observations.
+
+    Each distinct count reads its own column; together with the sums they would
+    have every row repeated for each of them.
+    """
     rows = _priced(observations)
+    days = rows.agg(F.count_distinct(F.to_date("collected_at")).alias("total_collection_days"))
+    products = rows.agg(F.count_distinct("product_id").alias("total_distinct_products"))
     totals = rows.agg(
         F.min("collected_at").alias("first_collected_at"),
         F.max("collected_at").alias("last_collected_at"),
-        F.count_distinct(F.to_date("collected_at")).alias("total_collection_days"),
-        F.count_distinct("product_id").alias("total_distinct_products"),
         F.count(F.lit(1)).alias("total_observations"),
         _avg_price().alias("avg_price"),
         F.min("price").alias("min_price"),
@@ -91,7 +95,7 @@ def market_overview(observations: DataFrame) -> DataFrame:
         count_where(F.col("is_best_seller")).alias("total_best_sellers"),
         count_where(F.col("is_amazon_choice")).alias("total_amazon_choice"),
     )
-    return combine_groups([totals, _percentile_prices(rows, [], QUARTILES)], []).select(
+    return combine_groups([totals, days, products, _percentile_prices(rows, [], QUARTILES)], []).select(
         "first_collected_at", "last_collected_at", "total_collection_days", "total_distinct_products",
         "total_observations", "avg_price", "min_price", "max_price", "median_price", "p25_price",
         "p75_price", "avg_discount_pct", "max_discount_pct", "products_with_discount", "avg_rating",
@@ -291,27 +295,42 @@ def price_variation(observations: DataFrame) -> DataFrame:
 def discount_buckets(observations: DataFrame) -> DataFrame:
     """Discount bands with sales measures, headed by a row for all observations.
 
-    Correlations are reported for the overall row only.
+    The rows are summed up once by band; the overall row comes from those few
+    sums.  Correlations are reported for the overall row only.
     """
     label, low, high = discount_band(F.col("discount_pct"))
     rows = _priced(observations).select(
         label.alias("discount_bucket"),
         low.alias("bucket_min_pct"),
         high.alias("bucket_max_pct"),
-        "discount_pct", "num_ratings", "price",
-        parse_sales_volume(F.col("sales_volume")).alias("sales_volume_units"),
+        units(F.col("discount_pct"), DISCOUNT_SCALE).alias("discount"),
+        F.col("num_ratings").cast("bigint").alias("ratings"),
+        cents(F.col("price")).alias("price"),
+        parse_sales_volume(F.col("sales_volume")).cast("bigint").alias("volume"),
     )
-    band = [F.col("discount_bucket"), F.col("bucket_min_pct"), F.col("bucket_max_pct")]
-    grouped = rows.groupingSets([[], band], *band).agg(
+    band = ["discount_bucket", "bucket_min_pct", "bucket_max_pct"]
+    measures = ["discount", "ratings", "volume", "price"]
+    fine = rows.groupBy(*band).agg(
+        F.count(F.lit(1)).alias("n"),
+        *(F.sum(m).alias(f"{m}_sum") for m in measures),
+        *(F.count(m).alias(f"{m}_n") for m in measures),
+        *moments(F.col("discount"), F.col("ratings"), "by_ratings"),
+        *moments(F.col("discount"), F.col("volume"), "by_volume"),
+    )
+
+    def average(measure: str, scale: int, digits: int) -> Column:
+        return mean_of(F.sum(f"{measure}_sum"), F.sum(f"{measure}_n"), scale, digits)
+
+    grouped = fine.groupingSets([[], [F.col(c) for c in band]], *band).agg(
         (F.grouping_id() > 0).alias("overall"),
-        F.count(F.lit(1)).alias("total_products"),
-        _avg_discount().alias("avg_discount_pct"),
-        _avg_ratings_count().alias("avg_num_ratings"),
-        mean(F.col("sales_volume_units"), 0, 0).alias("avg_sales_volume_units"),
-        F.count("sales_volume_units").alias("products_with_sales_data"),
-        pearson(F.col("discount_pct"), F.col("num_ratings")).alias("r_ratings"),
-        pearson(F.col("discount_pct"), F.col("sales_volume_units")).alias("r_volume"),
-        _avg_price().alias("avg_price"),
+        F.sum("n").alias("total_products"),
+        average("discount", DISCOUNT_SCALE, 2).alias("avg_discount_pct"),
+        average("ratings", 0, 0).alias("avg_num_ratings"),
+        average("volume", 0, 0).alias("avg_sales_volume_units"),
+        F.sum("volume_n").alias("products_with_sales_data"),
+        pearson_of("by_ratings").alias("r_ratings"),
+        pearson_of("by_volume").alias("r_volume"),
+        average("price", PRICE_SCALE, 2).alias("avg_price"),
     )
     return grouped.select(
         F.when(F.col("overall"), "global").otherwise(F.col("discount_bucket")).alias("discount_bucket"),
