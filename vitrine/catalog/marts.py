@@ -103,6 +103,7 @@ QUERIES = {
 _PCT_FREE = share("count(*) filter (free_shipping)", "count(*)")
 _UNITS = volume_units("sales_volume")
 
+# Fixed values in these: discount bands, price segments, labels and their limits.
 ORACLES = {
     "market_overview": f"""
 with {OBS}

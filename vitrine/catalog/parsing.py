@@ -187,6 +187,7 @@ QUERIES = {
     "json_fallback": json_fallback,
 }
 
+# Delivery texts of the listing source, price segments with their limits.
 _DELIVERY = """case l_linenumber when 1 then 'Entrega GRÁTIS: amanhã' when 2 then 'Entrega grátis em 2 dias'
     when 3 then 'FREE delivery' when 4 then '' when 5 then 'Entrega padrão em 5 dias'
     when 6 then 'Retirada na loja' end"""

@@ -81,6 +81,7 @@ def volume_units(text: str) -> str:
 
 
 def _brand_rules(title: str) -> str:
+    # The brand names and the title patterns they go by.
     return f"""case
       when {title} ilike '%samsung%' then 'Samsung'
       when {title} ilike '%iphone%' or {title} ilike 'apple%' then 'Apple'
