@@ -13,7 +13,7 @@ from vitrine.llm.catalog import PIECE_MODEL
 from vitrine.llm.contamination import decontaminate
 from vitrine.llm.language import accepted, is_held_out, train
 from vitrine.llm.pieces import encode
-from vitrine.llm.repeated_bytes import kept_texts, remove_repeated_bytes
+from vitrine.llm.repeated_bytes import remove_repeated_bytes
 from vitrine.llm.similar_sets import first_of_groups
 from vitrine.session import scratch_folder
 
@@ -33,8 +33,8 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Texts without the 200-byte strings that occur more than once."""
-    left = kept_texts(remove_repeated_bytes(docs, carry=("lang", "source", "n_chars")))
-    return _shortened(left, F.col("n_removed") > 0)
+    left = remove_repeated_bytes(docs, as_text=True, carry=("lang", "source", "n_chars"))
+    return _shortened(left.withColumnRenamed("kept", "text"), F.col("n_removed") > 0)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

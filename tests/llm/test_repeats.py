@@ -74,8 +74,11 @@ def test_long_texts_come_in_pieces(spark, monkeypatch):
 
 def test_cut_characters_are_left_out(spark):
     shared = "é" * 10
-    df = repeated_bytes.remove_repeated_bytes(h.frame(spark, [(1, "a" + shared + "b"), (2, "c" + shared[:9] + "è")]), 17, 8)
-    assert all("�" not in r.text for r in repeated_bytes.kept_texts(df).collect())
+    df = h.frame(spark, [(1, "a" + shared + "b"), (2, "c" + shared[:9] + "è"), (3, "y" * 30)])
+    whole = {r.doc_id: bytes(r.kept) for r in repeated_bytes.remove_repeated_bytes(df, 17, 8).collect()}
+    assert any(kept.decode("utf-8", "ignore").encode() != kept for kept in whole.values())
+    texts = {r.doc_id: r.kept for r in repeated_bytes.remove_repeated_bytes(df, 17, 8, as_text=True).collect()}
+    assert texts == {doc: kept.decode("utf-8", "ignore") for doc, kept in whole.items()}
 
 
 @pytest.mark.parametrize("hot", [(1000, 2000), (3, 4)])

@@ -9,8 +9,9 @@ a row with the same anchor form a segment.  Equal windows have equal anchors.
 * The bytes of their distinct segments are sent, by anchor, to be sorted as
   suffixes (see ``suffixes``); windows next to an equal one are repeats.
 
-An anchor with more than HOT occurrences isn't sorted in one place: the windows
-of its segments are asked about one by one, spread by their own hashes.
+An anchor with more than HOT different segments (those of each part added up)
+isn't sorted in one place: the windows of its segments are asked about one by
+one, spread by their own hashes.
 """
 
 from __future__ import annotations
@@ -24,24 +25,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from vitrine.llm.exchange import among, answer, ask, dealt, distinct, entries, finish, parts_of, send
+from vitrine.llm.exchange import among, answer, ask, buckets_of, dealt, distinct, entries, finish, send
 from vitrine.llm.suffixes import Suffixes
 from vitrine.llm.words import BYTE_VALUES, POWERS, blocks, covered, mixed, text_bytes
 
 HOT = 20_000
 SORT_BYTES = 1 << 20
+SORT_WINDOWS = 1 << 17
 _RESULT = (
     T.StructType()
     .add("doc_id", "long")
     .add("n_bytes", "long")
     .add("n_removed", "long")
     .add("n_spans", "long")
-    .add("kept", "binary")
 )
 ANCHORS, SEGMENTS, SPANS, WINDOWS = range(4)
 _UNIFORM, _MIXED, _HOT = 1, 2, 3
 _REPEATED, _SINGLE, _SENDER = 1, 2, 3
-_ANCHOR = np.dtype([("print", np.uint64), ("check", np.uint32), ("count", np.uint32), ("mixed", np.uint8)])
+_ANCHOR = np.dtype([("print", np.uint64), ("check", np.uint32), ("kinds", np.uint32), ("several", np.uint8)])
 _COUNT = np.dtype([("check", np.uint32), ("several", np.uint8)])
 _SEGMENT = np.dtype(
     [
@@ -59,14 +60,18 @@ _PIECE = 1 << 22
 _CHECK_VALUES = mixed(BYTE_VALUES + np.uint64(1)) | np.uint64(1)
 
 
-def remove_repeated_bytes(docs: DataFrame, length: int = 200, gram: int = 64, carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeated_bytes(
+    docs: DataFrame, length: int = 200, gram: int = 64, as_text: bool = False, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Removes each byte in a string of ``length`` bytes that also starts at another place of any document.
 
     ``docs`` needs doc_id and text; other columns are not read.  Texts are
     judged as UTF-8 bytes on the input, in whole; overlapping occurrences count,
     those in the same document too.  Returns per row doc_id, n_bytes, n_removed,
     n_spans (maximal removed runs) and kept, the remaining bytes in order.  They
-    need not be whole characters at the cuts.  The columns in ``carry`` follow.
+    need not be whole characters at the cuts; ``as_text`` gives them as a string
+    without what is left of characters that were cut.  The columns in ``carry``
+    follow.
 
     A null text counts as empty; it and texts shorter than ``length`` keep all.
     Repeated rows repeat each other, whatever their doc_id.  An empty table
@@ -77,7 +82,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 200, gram: int = 64, ca
     """
     if length < 8 or gram > length:
         raise ValueError("length must be 8 at least and gram no more than length")
-    buckets = parts_of(docs)
+    buckets = buckets_of(docs)
     dealt_docs = dealt(docs, "doc_id", "text", *carry)
     answers = None
     for sender, answerer in (
@@ -87,23 +92,11 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 200, gram: int = 64, ca
     ):
         got = ask(dealt_docs, answers, sender, answerer)
         answers = got if answers is None else answers.unionAll(got)
-    schema = T.StructType([*_RESULT.fields, *(docs.schema[c] for c in carry)])
+    kept = T.StructField("kept", T.StringType() if as_text else T.BinaryType())
+    schema = T.StructType([*_RESULT.fields, kept, *(docs.schema[c] for c in carry)])
     return finish(dealt_docs, answers, _removal(length, gram, carry, to_arrow_schema(schema)), schema)
 
 
-def kept_texts(result: DataFrame) -> DataFrame:
-    """A result with its kept bytes as ``text``, without what is left of characters that were cut."""
-    column = result.columns.index("kept")
-    schema = T.StructType([T.StructField("text", T.StringType()) if f.name == "kept" else f for f in result.schema])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [kept.decode("utf-8", "ignore") for kept in batch.column(column).to_pylist()]
-            yield batch.set_column(column, "text", pa.array(texts, pa.string()))
-
-    return result.mapInArrow(run, schema)
-
-
 @dataclass
 class Segments:
     """Segments of a part: anchor, first and last window (byte places), place of the anchor, two hashes."""
@@ -207,14 +200,20 @@ def _anchors(length: int, gram: int, buckets: int):
     def sender(table: pa.Table, got: pa.Table | None):
         part, data, offsets = _part(table)
         own = segments_of(data, offsets, length, gram)
-        keys, order, first, last = distinct(own.anchor)
-        if not len(keys):
+        if not len(own.anchor):
             return
-        notes = np.empty(len(keys), _ANCHOR)
-        notes["print"], notes["check"] = own.print[order][first], own.check[order][first]
-        notes["count"] = last - first
-        notes["mixed"] = _differs(first, last, own.print[order], own.check[order])
-        yield from send(part, ANCHORS, keys, notes, buckets)
+        order = np.lexsort((own.check, own.print, own.anchor))
+        anchor, prints, checks = own.anchor[order], own.print[order], own.check[order]
+        new = np.ones(len(order), bool)
+        new[1:] = anchor[1:] != anchor[:-1]
+        other = new.copy()
+        other[1:] |= (prints[1:] != prints[:-1]) | (checks[1:] != checks[:-1])
+        first = np.flatnonzero(new)
+        notes = np.empty(len(first), _ANCHOR)
+        notes["print"], notes["check"] = prints[first], checks[first]
+        notes["kinds"] = np.add.reduceat(other, first, dtype=np.int64)
+        notes["several"] = np.diff(np.append(first, len(order))) > 1
+        yield from send(part, ANCHORS, anchor[first], notes, buckets)
 
     def answerer(table: pa.Table):
         sent = entries(table, ANCHORS, _ANCHOR)
@@ -222,11 +221,11 @@ def _anchors(length: int, gram: int, buckets: int):
         if not len(first):
             return
         notes = sent.notes[order]
-        total = np.add.reduceat(notes["count"].astype(np.int64), first)
+        kinds = np.add.reduceat(notes["kinds"].astype(np.int64), first)
         differs = _differs(first, last, notes["print"], notes["check"])
-        differs |= np.maximum.reduceat(notes["mixed"], first) > 0
-        verdict = np.where(differs, np.where(total > HOT, _HOT, _MIXED), _UNIFORM)
-        verdict[total < 2] = 0
+        differs |= np.maximum.reduceat(notes["kinds"], first) > 1
+        verdict = np.where(differs, np.where(kinds > HOT, _HOT, _MIXED), _UNIFORM)
+        verdict[(last - first < 2) & (np.maximum.reduceat(notes["several"], first) == 0)] = 0
         out = np.empty(len(order), np.uint8)
         out[order] = np.repeat(verdict, last - first)
         yield from answer(sent, ANCHORS, out > 0, out)
@@ -397,12 +396,14 @@ def _repeats(content, head, begin, sizes, chosen, length) -> Iterator[tuple[int,
     # only windows with the anchor at the same place can be equal
     anchors = np.unique(head["anchor"][chosen], return_inverse=True)[1]
     group = anchors[which] * (length + 1) + head["at"][chosen].astype(np.int64)[which] - number
-    order = suffixes.sort(starts, group)
-    a, b = order[:-1], order[1:]
-    near = np.flatnonzero(group[a] == group[b])
-    equal = near[suffixes.equal(starts[a[near]], starts[b[near]])]
     repeated = np.zeros(len(starts), bool)
-    repeated[a[equal]] = repeated[b[equal]] = True
+    by_group = np.argsort(group, kind="stable")
+    for some in _chunks(by_group, group[by_group]):
+        order = some[suffixes.sort(starts[some], group[some])]
+        a, b = order[:-1], order[1:]
+        near = np.flatnonzero(group[a] == group[b])
+        equal = near[suffixes.equal(starts[a[near]], starts[b[near]])]
+        repeated[a[equal]] = repeated[b[equal]] = True
     repeated &= (head["single"][chosen] > 0)[which]
     places = np.flatnonzero(repeated)
     if len(places):
@@ -413,6 +414,20 @@ def _repeats(content, head, begin, sizes, chosen, length) -> Iterator[tuple[int,
             yield int(chosen[w]), f, e
 
 
+def _chunks(rows: np.ndarray, group: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows in order of their group, about SORT_WINDOWS of whole groups at a time, without those alone in theirs."""
+    new = np.ones(len(rows), bool)
+    new[1:] = group[1:] != group[:-1]
+    first = np.flatnonzero(new)
+    size = np.diff(np.append(first, len(rows)))
+    shared = np.repeat(size > 1, size)
+    rows, first = rows[shared], np.repeat(first, size)[shared]
+    heads = np.flatnonzero(np.concatenate(([True], first[1:] != first[:-1]))) if len(rows) else first
+    batch = heads // SORT_WINDOWS
+    cuts = heads[1:][batch[1:] != batch[:-1]]
+    yield from np.split(rows, cuts) if len(rows) else []
+
+
 def _removal(length: int, gram: int, carry: tuple[str, ...], schema: pa.Schema):
     def last(table: pa.Table, got: pa.Table) -> pa.Table:
         if not len(table):
@@ -441,6 +456,8 @@ def _removal(length: int, gram: int, carry: tuple[str, ...], schema: pa.Schema):
         begin, end = np.concatenate(starts), np.concatenate(ends)
         gone = covered(begin, end - begin, len(data))
         columns = _kept(table, data, offsets, gone)
+        if pa.types.is_string(schema.field("kept").type):
+            columns[-1] = pa.array([kept.decode("utf-8", "ignore") for kept in columns[-1].to_pylist()], pa.string())
         columns += [table.column(c).cast(schema.field(c).type) for c in carry]
         return pa.table(columns, schema=schema)
 
@@ -475,14 +492,20 @@ def _pair_among(keys: np.ndarray, checks: np.ndarray, known: np.ndarray, noted:
     return hit
 
 
+def _counted_before(flags: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """How many flags are set before each of the ascending places."""
+    pieces = [np.count_nonzero(flags[a:b]) for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)]
+    return np.concatenate(([0], np.cumsum(pieces, dtype=np.int64)))
+
+
 def _kept(table: pa.Table, data: np.ndarray, offsets: np.ndarray, gone: np.ndarray) -> list:
     """The result columns of a part, given its removed bytes."""
-    removed = np.concatenate(([0], np.cumsum(gone)))[offsets]
+    removed = _counted_before(gone, offsets)
     opens = gone.copy()
     opens[1:] &= ~gone[:-1]
     cuts = offsets[:-1][offsets[:-1] < len(gone)]
     opens[cuts] = gone[cuts]
-    spans = np.concatenate(([0], np.cumsum(opens)))[offsets]
+    spans = _counted_before(opens, offsets)
     kept = (offsets - removed).astype(np.int32)
     content = pa.BinaryArray.from_buffers(
         pa.binary(), len(table), [None, pa.py_buffer(kept), pa.py_buffer(data[~gone])]

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _STEP = np.uint64(_MULTIPLIER)
 
