@@ -29,7 +29,9 @@ MARKER = "▁"
 # Fixed values of the model format: kinds of model and of pieces.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-BLOCK_BYTES = 1 << 23
+BLOCK_BYTES = 1 << 20
+UNITS_AT_ONCE = 20_000
+THREADS = 2
 RESULT = "doc_id long, ids array<int>, n_tokens long, n_bytes_fallback long, decoded_equal boolean, parity boolean"
 
 
@@ -169,24 +171,30 @@ def ship_model(spark, path: str) -> str:
 
 def _encode_units(tokenizer: Tokenizer, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Flat ids of the units, how many each has, and whether each decodes to itself."""
-    marked = pc.replace_substring(units, " ", MARKER).to_numpy(zero_copy_only=False).tolist()
+    flat, sizes, sound = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [np.ones(0, bool)]
     gc.disable()  # the many small lists have no cycles, and looking for some takes a third of the time
-    found = [e.ids for e in tokenizer.encode_batch_fast(marked, add_special_tokens=False)]
-    sizes = np.array([len(ids) for ids in found], np.int64)
-    flat = [i for ids in found for i in ids]
-    sound = np.ones(len(found), bool)
-    if tokenizer.decode(flat, skip_special_tokens=False).encode() != text_bytes(units)[0].tobytes():
-        back = tokenizer.decode_batch(found, skip_special_tokens=False)
-        sound = np.array([u == d for u, d in zip(units.to_pylist(), back, strict=True)], bool)
-    flat = np.array(flat, np.int32)
+    for start in range(0, len(units), UNITS_AT_ONCE):
+        some = units.slice(start, UNITS_AT_ONCE)
+        marked = pc.replace_substring(some, " ", MARKER).to_numpy(zero_copy_only=False).tolist()
+        found = [e.ids for e in tokenizer.encode_batch_fast(marked, add_special_tokens=False)]
+        ids = [i for own in found for i in own]
+        fine = np.ones(len(found), bool)
+        if tokenizer.decode(ids, skip_special_tokens=False).encode() != text_bytes(some)[0].tobytes():
+            back = tokenizer.decode_batch(found, skip_special_tokens=False)
+            fine = np.array([u == d for u, d in zip(some.to_pylist(), back, strict=True)], bool)
+        flat.append(np.array(ids, np.int32))
+        sizes.append(np.array([len(own) for own in found], np.int32))
+        sound.append(fine)
     gc.enable()
-    return flat, sizes, sound
+    return np.concatenate(flat), np.concatenate(sizes), np.concatenate(sound)
 
 
 def _loaded(name: str):
     import sentencepiece
 
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
+    # few threads a task: the tasks of an executor fill its cores already
+    os.environ["TOKENIZERS_PARALLELISM"] = "true"
+    os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
     path = SparkFiles.get(name)
     with open(path, "rb") as file:
         model = read_model(file.read())
@@ -214,11 +222,13 @@ def _by_units(tokenizer: Tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.nda
     edges = np.append(starts, len(buffer)).astype(np.int32)
     found = pa.StringArray.from_buffers(count, pa.py_buffer(edges), pa.py_buffer(buffer)).dictionary_encode()
     held, sizes_of, sound = _encode_units(tokenizer, found.dictionary)
-    starts_of = np.cumsum(sizes_of) - sizes_of
+    starts_of = np.cumsum(sizes_of, dtype=np.int32) - sizes_of
     rows = found.indices.to_numpy()
     text = np.searchsorted(cuts, starts, side="right") - 1
     n = sizes_of[rows]
-    flat = held[np.repeat(starts_of[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+    places = np.repeat(starts_of[rows] - (np.cumsum(n, dtype=np.int32) - n), n)
+    places += np.arange(len(places), dtype=np.int32)
+    flat = held[places]
     per_text = np.bincount(text, weights=n, minlength=len(texts)).astype(np.int64)
     unsound = np.bincount(text, weights=~sound[rows], minlength=len(texts))
     return flat, per_text, unsound == 0
@@ -240,7 +250,7 @@ def encode(docs: DataFrame, model_path: str, parity_share: int = 64) -> DataFram
 
     Special pieces in a text are ordinary text.  A null or empty text has no
     ids.  Repeated rows are encoded alike; an empty table gives an empty result.
-    Texts are encoded in groups of about eight megabytes on several threads, a
+    Texts are encoded in groups of about a megabyte on several threads, a
     longer text on its own.
     """
     name = ship_model(docs.sparkSession, model_path)
