@@ -66,7 +66,7 @@ def test_envelope_round_trip(spark):
     assert sent.columns == MESSAGE.fieldNames()
     assert all(f.dataType.simpleString() == "string" for f in sent.schema)
     back = msg.loadable(msg.parsed(sent)).collect()
-    assert sorted(str(r.product_id) for r in back) == ["ZX90AZUL01", "None"]
+    assert {str(r.product_id) for r in back} == {"ZX90AZUL01", "None"} and len(back) == 2
     assert all(r.price == Decimal("845.25") and r.brand is None for r in back)
 
 
