@@ -5,7 +5,7 @@ distinct fingerprints it asks about, cut into buckets by value; one row holds a
 bucket's fingerprints of one part, packed.  A bucket sees what all parts sent
 and answers each part.  A fingerprint travels once per part however often it
 occurs there, so a passage that a third of all documents share costs a bucket no
-more than one entry per part.  There are two parts and half a
+more than one entry per part.  There are two parts and one
 bucket to each shuffle partition, the setting that is sized to the data.
 
 All stages read the documents through one shuffle by part, which Spark reuses.
@@ -38,7 +38,7 @@ def parts_of(df: DataFrame) -> int:
 
 
 def buckets_of(df: DataFrame) -> int:
-    return max(1, parts_of(df) // 4)
+    return max(1, parts_of(df) // 2)
 
 
 def dealt(docs: DataFrame, *columns: str) -> DataFrame:

@@ -29,7 +29,7 @@ from vitrine.llm.exchange import among, answer, ask, buckets_of, dealt, distinct
 from vitrine.llm.suffixes import Suffixes
 from vitrine.llm.words import BYTE_VALUES, POWERS, blocks, covered, mixed, text_bytes
 
-HOT = 20_000
+HOT = 2_000
 SORT_BYTES = 1 << 20
 SORT_WINDOWS = 1 << 17
 _RESULT = (
