@@ -29,7 +29,7 @@ MARKER = "▁"
 # Fixed values of the model format: kinds of model and of pieces.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 21
 UNITS_AT_ONCE = 20_000
 THREADS = 2
 RESULT = "doc_id long, ids array<int>, n_tokens long, n_bytes_fallback long, decoded_equal boolean, parity boolean"
@@ -250,7 +250,7 @@ def encode(docs: DataFrame, model_path: str, parity_share: int = 64) -> DataFram
 
     Special pieces in a text are ordinary text.  A null or empty text has no
     ids.  Repeated rows are encoded alike; an empty table gives an empty result.
-    Texts are encoded in groups of about a megabyte on several threads, a
+    Texts are encoded in groups of about two megabytes on several threads, a
     longer text on its own.
     """
     name = ship_model(docs.sparkSession, model_path)
