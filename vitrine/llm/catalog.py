@@ -69,7 +69,8 @@ def op6_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's importance for texts labelled good, and whether it is drawn."""
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
     good = labels.filter("quality = 1 AND toxic = 0").select("doc_id").distinct()
-    return resample(docs, docs.join(good, "doc_id", "left_semi"))
+    # merged at any size, because the labels grow with the documents
+    return resample(docs, docs.join(good.hint("merge"), "doc_id", "left_semi"))
 
 
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
