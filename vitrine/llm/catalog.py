@@ -207,6 +207,30 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(named, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN by_doc USING (doc_id) LEFT JOIN hit_words USING (doc_id)
+""",
+    "op4_ngram_jaccard": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM d, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS u(i)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, p.n, q.n
+  HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT doc_id, y FROM reached JOIN links ON other = x
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
 """,
     "op9_tool_calls": r"""
 WITH calls AS (
@@ -227,5 +251,30 @@ SELECT r.conv_id, CAST(r.call_turn AS VARCHAR), CAST(r.turn AS BIGINT), 0, 'orph
        '{"content":' || CAST(to_json(r.text) AS VARCHAR) || ',"role":"tool","tool_call_id":"' || r.call_turn || '"}'
 FROM results r LEFT JOIN calls c ON r.conv_id = c.conv_id AND r.call_turn = c.turn
 WHERE c.turn IS NULL
+""",
+    "op10_suffix_dedup": r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(substr(x, 2 * i + 1, 400)) AS h FROM d, unnest(range(length(x) // 2 - 199)) AS u(i)
+), counted AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS n FROM windows
+), starts AS (
+  SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS step FROM counted WHERE n > 1
+), numbered AS (
+  SELECT doc_id, i, sum(CASE WHEN step <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM starts
+), spans AS (
+  SELECT doc_id, span, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY doc_id, span
+), gaps AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans
+), kept AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+         string_agg(substr(x, CAST(2 * before + 1 AS BIGINT), CAST(2 * (a - before) AS BIGINT)), '' ORDER BY a) AS head
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(x, CAST(2 * coalesce(last, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
 """,
 }
