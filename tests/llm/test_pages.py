@@ -65,3 +65,18 @@ def test_copies_of_a_page_are_no_template(spark):
 
 def test_no_pages(spark):
     assert extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def texts_of(spark, rows):
+    got = extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    return {r.page_id: r.text for r in got.collect()}
+
+
+def test_boilerplate_longer_than_the_article_is_template(spark):
+    notice = " ".join(f"notice{k}" for k in range(60))
+    html = "<body><div class=x>{}</div><p>{}</p></body>".format
+    rows = [(n, "http://long.example.com/", html(notice, own_text(n))) for n in range(12)]
+    # copies of one page count once, and make nothing of its own text template
+    rows += [(n, "http://long.example.com/", html(notice, own_text(0))) for n in range(100, 300)]
+    texts = texts_of(spark, rows)
+    assert all(texts[n] == own_text(n if n < 100 else 0) for n in texts)

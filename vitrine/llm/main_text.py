@@ -1,21 +1,24 @@
 """Main text of web pages by wrapper induction.
 
-The pages of a host are aligned, tree against tree, with one reference page of
-that host by simple tree matching.  Nodes whose text is the same on the pages
-are the host's template, the slots that vary are its content.  A page's main
-text is what its varying slots hold, less the slots that are named as menus,
-adverts and the like.
+The pages of a host are aligned, tree against tree, by slot path: the kinds of
+element from the root down to a node.  Nodes whose text is the same at the same
+path on nearly all pages are the host's template, what varies is their content.
+A page's main text is what its varying nodes hold, less those that are named as
+menus, adverts and the like.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
-import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +27,8 @@ from vitrine.llm.scratch import stored
 
 EVIDENCE_PAGES = 3
 CONSTANT_SHARE = 0.9
-COPY_SHARE = 0.5
 MAX_DEPTH = 200
+PAGE = 0  # the key that stands for the page itself
 
 # Elements and names that HTML itself or common usage gives to what is not the article.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -59,6 +62,8 @@ CLOSES = {
     "tfoot": {"tbody", "tr", "td", "th"},
 }
 SCOPES = set("table ul ol dl select article section div body html".split())
+_P_STOPS = SCOPES | {"li", "td", "th"}
+_STOPS = {tag: SCOPES - {tag} for tag in CLOSES}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -83,6 +88,7 @@ def parse(text: str) -> Node:
     """A tree of any input: missing end tags are implied, stray ones ignored, elements below MAX_DEPTH flattened."""
     root = Node("html")
     stack = [root]
+    open_tags: Counter[str] = Counter()
     at, size = 0, len(text)
     while at < size:
         token = _TOKEN.search(text, at)
@@ -96,19 +102,16 @@ def parse(text: str) -> Node:
             continue
         tag = token[2].lower()
         if token[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            _close(stack, open_tags, {tag}, set())
             continue
-        if tag in ("html", "body") and any(n.tag == tag for n in stack[1:]):
+        if tag in ("html", "body") and open_tags[tag]:
             continue
         if tag in BLOCKS:
-            _close(stack, {"p"}, SCOPES | {"li", "td", "th"})
+            _close(stack, open_tags, {"p"}, _P_STOPS)
         if tag in CLOSES:
-            _close(stack, CLOSES[tag], SCOPES - {tag})
+            _close(stack, open_tags, CLOSES[tag], _STOPS[tag])
         if tag in BLOCKS and stack[-1].tag == "head":
-            stack.pop()
+            open_tags[stack.pop().tag] -= 1
         attributes = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _NAMED.finditer(token[3])} if token[3] else {}
         names = f"{attributes.get('class', '')} {attributes.get('id', '')}".strip().lower()
         node = Node(tag, names, attributes.get("role", "").lower())
@@ -118,13 +121,18 @@ def parse(text: str) -> Node:
             at = end.end() if end else size
         elif tag not in VOID and len(stack) < MAX_DEPTH:
             stack.append(node)
+            open_tags[tag] += 1
     return root
 
 
-def _close(stack: list[Node], tags: set[str], stop: set[str]) -> None:
+def _close(stack: list[Node], open_tags: Counter[str], tags: set[str], stop: set[str]) -> None:
     """Ends the nearest open element of ``tags``, unless one of ``stop`` is in between."""
+    if not any(open_tags[tag] for tag in tags):
+        return
     for depth in range(len(stack) - 1, 0, -1):
         if stack[depth].tag in tags:
+            for node in stack[depth:]:
+                open_tags[node.tag] -= 1
             del stack[depth:]
             return
         if stack[depth].tag in stop:
@@ -133,10 +141,15 @@ def _close(stack: list[Node], tags: set[str], stop: set[str]) -> None:
 
 def is_hidden(node: Node, in_article: bool) -> bool:
     """Whether an element is by its kind or name no part of an article."""
-    if node.tag in HIDDEN or node.role in HIDDEN_ROLES or (node.tag == "header" and not in_article):
+    return _is_hidden(node.tag, node.names, node.role, in_article)
+
+
+@lru_cache(4096)
+def _is_hidden(tag: str, names: str, role: str, in_article: bool) -> bool:
+    if tag in HIDDEN or role in HIDDEN_ROLES or (tag == "header" and not in_article):
         return True
-    if node.names and node.tag not in ("html", "body", "main"):
-        named = _NAME_PARTS.split(node.names)
+    if names and tag not in ("html", "body", "main"):
+        named = _NAME_PARTS.split(names)
         return not HIDDEN_NAMES.isdisjoint(named) or ("header" in named and not in_article)
     return False
 
@@ -152,59 +165,130 @@ class Slot:
     nodes: list[Node]
     prints: list[int]
     inner: list[Slot]
-    number: int = 0
 
 
-def print_of(node: Node) -> int:
-    return zlib.crc32(" ".join("".join(_strings(node)).split()).encode("utf-8", "replace"))
+def prints_of(root: Node) -> dict[int, int]:
+    """By id() of each element, a fingerprint of its text with white space collapsed, 0 if there is none.
 
-
-def _strings(node: Node) -> Iterator[str]:
-    for child in node.children:
-        if isinstance(child, str):
-            yield child
-        elif child.tag not in RAW:
+    All are differences of one running polynomial hash modulo 2^64 of the
+    page's text, so that the depth of a page does not count.
+    """
+    pieces: list[str] = []
+    at, ids, starts, ends = 0, [], [], []
+    stack = [(iter(root.children), -1)]
+    while stack:
+        children, number = stack[-1]
+        for child in children:
+            if isinstance(child, str):
+                pieces.append(child)
+                at += len(child)
+                continue
+            if child.tag in RAW:
+                continue
             if child.tag in BLOCKS or child.tag == "br":
-                yield " "
-            yield from _strings(child)
+                pieces.append(" ")
+                at += 1
+            ids.append(id(child))
+            starts.append(at)
+            ends.append(at)
+            if child.children:
+                stack.append((iter(child.children), len(ids) - 1))
+                break
+        else:
+            stack.pop()
+            if number >= 0:
+                ends[number] = at
+    codes = np.frombuffer("".join(pieces).encode("utf-32-le", "replace"), np.uint32)
+    blank = _BLANK[np.minimum(codes, len(_BLANK) - 1)]
+    black = np.flatnonzero(~blank)
+    kept = ~blank
+    kept[1:] |= ~blank[:-1]  # of a run of blanks the first one
+    place = np.concatenate(([0], np.cumsum(kept)))
+    values = np.where(blank, 32, codes)[kept].astype(np.uint64) * _FACTOR
+    values ^= values >> np.uint64(29)
+    powers, inverse = _powers(len(values))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * powers[: len(values)], dtype=np.uint64)))
+    first, last = np.searchsorted(black, starts), np.searchsorted(black, ends) - 1
+    some = np.flatnonzero(first <= last)
+    a, b = place[black[first[some]]], place[black[last[some]]] + 1
+    found = (sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64)
+    found = (found ^ found >> np.uint64(32)) * _FACTOR
+    out = np.zeros(len(ids), np.uint64)
+    out[some] = found ^ found >> np.uint64(29) | np.uint64(1)
+    return dict(zip(ids, out.tolist(), strict=True))
+
+
+_BLANK = np.array([chr(c).isspace() for c in range(0x3002)])
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0xD1342543DE82EF95
+_HELD_POWERS = 1 << 16
+
+
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64, at least ``count`` of each."""
+    return _powers_held() if count <= _HELD_POWERS else _powers_made(count)
+
+
+@lru_cache(1)
+def _powers_held() -> tuple[np.ndarray, np.ndarray]:
+    return _powers_made(_HELD_POWERS)
+
+
+def _powers_made(count: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        steps = np.full(count, base, np.uint64)
+        steps[0] = 1
+        out.append(np.cumprod(steps, dtype=np.uint64))
+    return out[0], out[1]
 
 
 def slots_of(node: Node) -> list[Slot]:
+    prints = prints_of(node)
     out: list[Slot] = []
-    for child in node.children:
-        if isinstance(child, str) or child.tag in RAW or child.tag in VOID:
-            continue
-        kind = f"{child.tag}|{child.names}"
-        if not out or out[-1].kind != kind:
-            out.append(Slot(kind, [], [], []))
-        out[-1].nodes.append(child)
-    for slot in out:
-        slot.prints = [print_of(n) for n in slot.nodes]
-        if len(slot.nodes) == 1:
-            slot.inner = slots_of(slot.nodes[0])
+    todo = [(node, out)]
+    while todo:
+        parent, slots = todo.pop()
+        for child in parent.children:
+            if isinstance(child, str) or child.tag in RAW or child.tag in VOID:
+                continue
+            kind = f"{child.tag}|{child.names}"
+            if not slots or slots[-1].kind != kind:
+                slots.append(Slot(kind, [], [], []))
+            slots[-1].nodes.append(child)
+            slots[-1].prints.append(prints[id(child)])
+        todo.extend((slot.nodes[0], slot.inner) for slot in slots if len(slot.nodes) == 1)
     return out
 
 
-def as_json(slots: list[Slot]) -> list:
-    return [[s.kind, s.prints, as_json(s.inner)] for s in slots]
+def keyed(root: Node) -> Iterator[tuple[int, Node]]:
+    """Elements that have text and aren't hidden, each with a 64-bit key of its slot path and text.
 
+    Inside a slot of several siblings only the siblings themselves are looked at.
+    """
+    todo = [(slots_of(root), 0)]
+    while todo:
+        slots, above = todo.pop()
+        for slot in slots:
+            path = (above ^ zlib.crc32(slot.kind.encode("utf-8", "replace"))) * 0x9E3779B97F4A7C15 + 1 & _ALL
+            path ^= path >> 29
+            for node, own in zip(slot.nodes, slot.prints, strict=True):
+                if own and not is_hidden(node, True):
+                    key = (path ^ own) * _BASE & _ALL
+                    yield (key ^ key >> 32) - (1 << 63), node
+                    if slot.inner:
+                        todo.append((slot.inner, path))
 
-def from_json(rows: list, counter: list[int]) -> list[Slot]:
-    """Reference slots, numbered in page order."""
-    out = []
-    for kind, prints, inner in rows:
-        slot = Slot(kind, [], prints, [], counter[0])
-        counter[0] += 1
-        slot.inner = from_json(inner, counter)
-        out.append(slot)
-    return out
+
+_ALL = (1 << 64) - 1
 
 
 def match(page: list[Slot], reference: list[Slot]) -> tuple[int, list[tuple[Slot, Slot]]]:
     """Simple tree matching: the largest order-keeping matching of two forests.
 
     Slots match if their kinds are equal; a match counts one, and the matching
-    of what is inside them.
+    of what is inside them.  Matched slots have the same path, so that ``keyed``
+    finds all that this finds; it recurses and is for two pages of usual depth.
     """
     rows, columns = len(page), len(reference)
     if not rows or not columns:
@@ -232,47 +316,36 @@ def match(page: list[Slot], reference: list[Slot]) -> tuple[int, list[tuple[Slot
     return best[rows][columns], pairs
 
 
-def _open_slots(slots: list[Slot], in_article: bool = False) -> Iterator[tuple[Slot, Node, int]]:
-    """Leaves outside hidden elements: what an article may consist of."""
-    for slot in slots:
-        within = in_article or slot.kind.startswith(("article|", "main|"))
-        if slot.inner:
-            if not is_hidden(slot.nodes[0], in_article):
-                yield from _open_slots(slot.inner, within)
-        else:
-            for node, own in zip(slot.nodes, slot.prints, strict=True):
-                if not is_hidden(node, in_article):
-                    yield slot, node, own
-
-
 # --- text --------------------------------------------------------------------------------
 
 
 def main_blocks(root: Node, template: set[int]) -> list[str]:
     """Blocks of text in page order, without hidden and template elements (``template`` holds their id())."""
-    bodies = [n for n in _articles(root)] or [root]
+    bodies = _articles(root) or [root]
     out: list[str] = []
     for body in bodies:
-        parts: list[str] = []
-        _collect(body, body is not root, template, parts, out)
-        _flush(parts, out)
+        _collect(body, body is not root, template, out)
     return out
 
 
-def _articles(node: Node) -> Iterator[Node]:
+def _articles(node: Node) -> list[Node]:
     """The outermost article elements, or the main element if there are none."""
-    found = list(_outermost(node, {"article"}))
-    yield from found or _outermost(node, {"main"})
+    return list(_outermost(node, {"article"})) or list(_outermost(node, {"main"}))
 
 
 def _outermost(node: Node, tags: set[str]) -> Iterator[Node]:
-    for child in node.children:
-        if isinstance(child, str) or is_hidden(child, True):
-            continue
-        if child.tag in tags or (child.role == "main" and "main" in tags):
-            yield child
+    stack = [iter(node.children)]
+    while stack:
+        for child in stack[-1]:
+            if isinstance(child, str) or is_hidden(child, True):
+                continue
+            if child.tag in tags or (child.role == "main" and "main" in tags):
+                yield child
+            else:
+                stack.append(iter(child.children))
+                break
         else:
-            yield from _outermost(child, tags)
+            stack.pop()
 
 
 def _flush(parts: list[str], out: list[str]) -> None:
@@ -282,44 +355,61 @@ def _flush(parts: list[str], out: list[str]) -> None:
         out.append(text)
 
 
-def _collect(node: Node, in_article: bool, template: set[int], parts: list[str], out: list[str]) -> None:
-    for child in node.children:
-        if isinstance(child, str):
-            parts.append(child)
-        elif child.tag == "br":
-            parts.append(" ")
-        elif id(child) in template or is_hidden(child, in_article):
-            if child.tag in BLOCKS:
+def _collect(body: Node, in_article: bool, template: set[int], out: list[str]) -> None:
+    parts: list[str] = []
+    chars: dict[int, tuple[int, int]] = {}
+    stack = [(iter(body.children), in_article, True)]
+    while stack:
+        children, within, ends_block = stack[-1]
+        for child in children:
+            if isinstance(child, str):
+                parts.append(child)
+                continue
+            if child.tag == "br":
+                parts.append(" ")
+                continue
+            block = child.tag in BLOCKS
+            if block:
                 _flush(parts, out)
-        elif child.tag in BLOCKS:
-            _flush(parts, out)
-            if not in_article and _is_link_list(child):
+            if id(child) in template or is_hidden(child, within) or (not within and _is_link_list(child, chars)):
                 continue
-            _collect(child, in_article or child.tag in ("article", "main"), template, parts, out)
-            _flush(parts, out)
+            stack.append((iter(child.children), within or child.tag in ("article", "main"), block))
+            break
         else:
-            _collect(child, in_article, template, parts, out)
+            stack.pop()
+            if ends_block:
+                _flush(parts, out)
 
 
-def _is_link_list(node: Node) -> bool:
-    """A list most of whose text is links: a menu without a name."""
+def _is_link_list(node: Node, chars: dict[int, tuple[int, int]]) -> bool:
+    """A list most of whose text is links: a menu without a name.  ``chars`` keeps the counts of lists inside."""
     if node.tag not in ("ul", "ol", "table"):
         return False
-    links, total = _link_chars(node, False)
+    if id(node) not in chars:
+        _link_chars(node, chars)
+    links, total = chars[id(node)]
     return total > 0 and links >= 0.8 * total
 
 
-def _link_chars(node: Node, inside: bool) -> tuple[int, int]:
-    links = total = 0
-    for child in node.children:
-        if isinstance(child, str):
-            size = len("".join(child.split()))
-            total += size
-            links += size * inside
-        elif child.tag not in RAW:
-            more = _link_chars(child, inside or child.tag == "a")
-            links, total = links + more[0], total + more[1]
-    return links, total
+def _link_chars(node: Node, chars: dict[int, tuple[int, int]]) -> None:
+    """Characters in links and in all, of an element and each in it."""
+    stack = [(node, iter(node.children), [0, 0])]
+    while stack:
+        own, children, counts = stack[-1]
+        for child in children:
+            if isinstance(child, str):
+                counts[1] += len("".join(child.split()))
+            elif child.tag not in RAW:
+                stack.append((child, iter(child.children), [0, 0]))
+                break
+        else:
+            stack.pop()
+            links, total = counts
+            if own.tag in ("ul", "ol", "table"):
+                chars[id(own)] = links, total
+            if stack:
+                stack[-1][2][0] += total if own.tag == "a" else links
+                stack[-1][2][1] += total
 
 
 # --- jobs --------------------------------------------------------------------------------
@@ -330,46 +420,46 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
 
     Blocks are joined by one \\n, white space inside a block is one blank,
     character references are decoded.  A null or empty html gives "".  Pages
-    without a url or host form a host of their own.  The reference page of a
-    host is the one with the smallest page_id; a host that has none, or fewer
-    than EVIDENCE_PAGES pages that differ from it, has no template, so that only
-    kinds and names tell its article.  A page that shares COPY_SHARE or more of
-    its open text with the reference is a copy and no evidence.  Repeated rows
-    are extracted alike; an empty table gives an empty result.
-
-    Reference trees and templates are one small row per host.  Spark joins them
-    by broadcast while they are below its threshold and otherwise by a shuffle,
+    without a url or host form a host of their own.  All pages of a host are
+    evidence for its template, whichever layout each has: an element counts once
+    for each page that has its text at its slot path, and is template if
+    CONSTANT_SHARE of the pages have it.  Pages whose open text (the text without
+    any template) is the same in whole are copies and count as one.  A host with
+    no more than EVIDENCE_PAGES different pages has no template, so that only
+    kinds and names tell its article.  Repeated rows are extracted alike; an
+    empty table gives an empty result.
+
+    Evidence travels as one 64-bit key an element, added up before and after the
+    shuffle.  Templates are one small row per host.  Spark joins them by
+    broadcast while they are below its threshold and otherwise by a shuffle,
     where it can split a host that holds many pages.
     """
     pages = pages.select("page_id", "url", "html", _host().alias("host"))
-    first = pages.filter("page_id IS NOT NULL").groupBy("host").agg(F.min("page_id").alias("page_id"))
-    references = (
-        pages.join(first, ["host", "page_id"])
-        .select("host", "html")
-        .dropDuplicates(["host"])
-        .mapInArrow(_references, "host string, tree string")
+    different = (
+        pages.select("host", "html")
+        .mapInArrow(_evidence, "host string, open long, keys array<long>")
+        .groupBy("host", "open")
+        .agg(F.min("keys").alias("keys"))
     )
-    references = stored(references, "references")
     evidence = (
-        pages.select("host", "html")
-        .join(references, "host")
-        .mapInArrow(_evidence, "host string, slot int, print long, pages long")
-        .groupBy("host", "slot", "print")
-        .agg(F.sum("pages").alias("pages"))
+        different.select("host", F.explode("keys").alias("key"))
+        .groupBy("host", "key")
+        .agg(F.count(F.lit(1)).alias("pages"))
+        .filter(F.col("pages") > EVIDENCE_PAGES)  # less is no template of any host
     )
     evidence = stored(evidence, "evidence")
-    enough = evidence.filter(F.col("slot") < 0).select("host", F.col("pages").alias("all_pages"))
+    counted = evidence.filter(F.col("key") == PAGE).select("host", F.col("pages").alias("all_pages"))
     templates = (
-        evidence.filter(F.col("slot") >= 0)
-        .join(enough.filter(F.col("all_pages") >= EVIDENCE_PAGES), "host")
+        evidence.filter(F.col("key") != PAGE)
+        .join(counted, "host")
         .filter(F.col("pages") >= CONSTANT_SHARE * F.col("all_pages"))
         .groupBy("host")
-        .agg(F.collect_list(F.struct("slot", "print")).alias("template"))
+        .agg(F.collect_list("key").alias("template"))
     )
-    wrappers = stored(references.join(templates, "host"), "wrappers")
+    templates = stored(templates, "templates")
     return (
-        pages.join(wrappers, "host", "left")
-        .select("page_id", "url", "html", "host", "tree", "template")
+        pages.join(templates, "host", "left")
+        .select("page_id", "url", "html", "host", "template")
         .mapInArrow(_extraction, "page_id long, url string, text string, n_chars long")
     )
 
@@ -379,63 +469,33 @@ def _host():
     return F.lower(F.coalesce(found, F.lit("")))
 
 
-def _references(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        trees = [json.dumps(as_json(slots_of(parse(h or "")))) for h in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(trees, pa.string())], ["host", "tree"])
-
-
 def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many pages that are no copy of the reference have each of its slots' texts; slot -1 counts the pages."""
-    trees: dict[str, list[Slot]] = {}
+    """Of each page a hash of its open text and the distinct keys of its elements; PAGE counts the page."""
     for batch in batches:
-        counts: dict[tuple[str, int, int], int] = {}
-        for host, page, tree in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if host not in trees:
-                trees.clear()
-                trees[host] = from_json(json.loads(tree), [0])
-            slots = slots_of(parse(page or ""))
-            pairs = match(slots, trees[host])[1]
-            same = {id(own): set(own.prints) & set(other.prints) for own, other in pairs}
-            total = equal = 0
-            for slot, node, own in _open_slots(slots):
-                size = sum(map(len, _strings(node)))
-                total += size
-                equal += size * (own in same.get(id(slot), ()))
-            if equal >= COPY_SHARE * total:
-                continue
-            counts[host, -1, 0] = counts.get((host, -1, 0), 0) + 1
-            for own, other in pairs:
-                for value in same[id(own)]:
-                    key = host, other.number, value
-                    counts[key] = counts.get(key, 0) + 1
-        rows = [(*key, n) for key, n in counts.items()]
-        columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
-        kinds = pa.string(), pa.int32(), pa.int64(), pa.int64()
+        opens, keys = [], []
+        for page in batch.column(1).to_pylist():
+            root = parse(page or "")
+            text = "\n".join(main_blocks(root, set())).encode("utf-8", "replace")
+            opens.append(int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True))
+            keys.append(sorted({key for key, _ in keyed(root)} | {PAGE}))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "slot", "print", "pages"]
+            [batch.column(0).cast(pa.string()), pa.array(opens, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+            ["host", "open", "keys"],
         )
 
 
 def _extraction(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str, tuple[list[Slot], dict[int, set[int]]]] = {}
+    known: dict[str, set[int]] = {}
     for batch in batches:
         texts = []
-        for page, host, tree, rows in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True):
+        for page, host, keys in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
             root = parse(page or "")
             template: set[int] = set()
-            if tree is not None:
+            if keys:
                 if host not in known:
                     known.clear()
-                    constant: dict[int, set[int]] = {}
-                    for row in rows:
-                        constant.setdefault(row["slot"], set()).add(row["print"])
-                    known[host] = from_json(json.loads(tree), [0]), constant
-                reference, constant = known[host]
-                for own, other in match(slots_of(root), reference)[1]:
-                    for node, value in zip(own.nodes, own.prints, strict=True):
-                        if value in constant.get(other.number, ()):
-                            template.add(id(node))
+                    known[host] = set(keys)
+                template = {id(node) for key, node in keyed(root) if key in known[host]}
             texts.append("\n".join(main_blocks(root, template)))
         yield pa.RecordBatch.from_arrays(
             [
