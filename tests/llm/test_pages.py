@@ -80,3 +80,11 @@ def test_boilerplate_longer_than_the_article_is_template(spark):
     rows += [(n, "http://long.example.com/", html(notice, own_text(0))) for n in range(100, 300)]
     texts = texts_of(spark, rows)
     assert all(texts[n] == own_text(n if n < 100 else 0) for n in texts)
+
+
+def test_template_that_the_first_page_lacks(spark):
+    block = "<div class=y><p>Write to us at any time.</p></div>"
+    rows = [(0, "http://home.example.com/", "<body><table><tr><td>Nothing here</td></tr></table></body>")]
+    rows += [(n, "http://home.example.com/", f"<body><section><p>{own_text(n)}</p>{block}</section></body>") for n in range(1, 30)]
+    texts = texts_of(spark, rows)
+    assert texts[0] == "Nothing here" and all(texts[n] == own_text(n) for n in range(1, 30))
