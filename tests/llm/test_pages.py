@@ -88,3 +88,11 @@ def test_template_that_the_first_page_lacks(spark):
     rows += [(n, "http://home.example.com/", f"<body><section><p>{own_text(n)}</p>{block}</section></body>") for n in range(1, 30)]
     texts = texts_of(spark, rows)
     assert texts[0] == "Nothing here" and all(texts[n] == own_text(n) for n in range(1, 30))
+
+
+def test_pages_of_any_depth(spark):
+    deep = "<font>" * 3000
+    assert blocks(f"{deep}<nav>menu</nav><article><p>one</p><form>f</form></article>") == ["one"]
+    assert blocks("<ul>" * 3000 + "<li><a>x</a>") == [] and blocks("<div>" * 3000 + "<main>two</main>") == ["two"]
+    rows = [(n, "http://deep.example.com/", f"{deep}<article><p>{own_text(n)}</p><div>Sign up.</div></article>") for n in range(6)]
+    assert texts_of(spark, rows) == {n: own_text(n) for n in range(6)}

@@ -27,7 +27,6 @@ from vitrine.llm.scratch import stored
 
 EVIDENCE_PAGES = 3
 CONSTANT_SHARE = 0.9
-MAX_DEPTH = 200
 PAGE = 0  # the key that stands for the page itself
 
 # Elements and names that HTML itself or common usage gives to what is not the article.
@@ -85,7 +84,7 @@ class Node:
 
 
 def parse(text: str) -> Node:
-    """A tree of any input: missing end tags are implied, stray ones ignored, elements below MAX_DEPTH flattened."""
+    """A tree of any input, of any depth: missing end tags are implied, stray ones ignored."""
     root = Node("html")
     stack = [root]
     open_tags: Counter[str] = Counter()
@@ -119,7 +118,7 @@ def parse(text: str) -> Node:
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(text, at)
             at = end.end() if end else size
-        elif tag not in VOID and len(stack) < MAX_DEPTH:
+        elif tag not in VOID:
             stack.append(node)
             open_tags[tag] += 1
     return root
