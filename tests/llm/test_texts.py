@@ -221,6 +221,27 @@ def test_ids_equal_the_library(spark):
     assert pieces.encode(h.frame(spark, []), PIECE_MODEL).count() == 0
 
 
+def test_parity_is_told_for_every_text(spark):
+    got = pieces.encode(h.frame(spark, list(enumerate(PROBES))), PIECE_MODEL).collect()
+    assert len(got) == len(PROBES) and all(r.parity is True for r in got)
+
+
+def test_units_that_deviate_get_the_ids_of_the_library():
+    import pyarrow as pa
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+    with open(PIECE_MODEL, "rb") as file:
+        model = pieces.read_model(file.read())
+    assert pieces.splits_at_blanks(model)
+    # "the" can't be merged any more
+    model.pieces = [(p, s, pieces.CONTROL if p == "▁the" else k) for p, s, k in model.pieces]
+    texts = ["in the end", "in   an end ", "", " ", "the", "x  "]
+    flat, sizes, sound, same = pieces._by_units(pieces.build_tokenizer(model, units=True), library, pa.array(texts))
+    assert flat.tolist() == [i for t in texts for i in library.encode(t)] and sound.all()
+    assert sizes.tolist() == [len(library.encode(t)) for t in texts]
+    assert same.tolist() == [False, True, True, True, False, True]
+
+
 def varint(value):
     out = b""
     while value >= 0x80:

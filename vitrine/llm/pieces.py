@@ -3,7 +3,7 @@
 The model's protobuf is read field by field; normaliser, metaspace marker,
 scores and byte fallback are rebuilt as a tokenizers pipeline, which encodes
 batches on several threads.  What it yields is held against the sentencepiece
-library itself on a share of the texts.
+library itself for every text: unit by unit where texts are cut into units.
 """
 
 from __future__ import annotations
@@ -137,10 +137,13 @@ def splits_at_blanks(model: Model) -> bool:
 
     So it is if the text is taken as it is and no piece has a marker after
     another character: nothing is then ever merged across the start of a run.
+    Unigram models are left out, whose scores are rounded as they add up over the
+    text, and those where a lone marker is unknown and joins its neighbours.
     """
     usable = [p for p, _, kind in model.pieces if kind in (NORMAL, USER_DEFINED)]
     as_is = model.dummy_prefix and model.escape_blanks and not model.trim_blanks and not model.charsmap
-    return as_is and not any(re.search(f"[^{MARKER}]{MARKER}", p) for p in usable)
+    apart = model.kind == BPE and (model.byte_fallback or MARKER in usable)
+    return as_is and apart and not any(re.search(f"[^{MARKER}]{MARKER}", p) for p in usable)
 
 
 def _merges(model: Model) -> list[tuple[str, str]]:
@@ -169,14 +172,34 @@ def ship_model(spark, path: str) -> str:
     return os.path.basename(path)
 
 
-def _encode_units(tokenizer: Tokenizer, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Flat ids of the units, how many each has, and whether each decodes to itself."""
-    flat, sizes, sound = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [np.ones(0, bool)]
+def _library_units(library, units: list[str]) -> list[list[int]]:
+    """What the library yields for units, each of which begins with a blank, as it puts one in front of a text."""
+    found = library.encode([u[1:] for u in units], num_threads=THREADS)
+    for n, unit in enumerate(units):
+        if unit == " ":  # nothing by itself, one blank behind something
+            found[n] = library.encode("a ")[len(library.encode("a")) :]
+    return found
+
+
+def _encode_units(
+    tokenizer: Tokenizer, library, units: pa.Array
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Flat ids of the units, how many each has, whether each decodes to itself and was what the library yields.
+
+    The ids are the library's where the tokenizer's differ.
+    """
+    flat, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    sound, alike = [np.ones(0, bool)], [np.ones(0, bool)]
     gc.disable()  # the many small lists have no cycles, and looking for some takes a third of the time
     for start in range(0, len(units), UNITS_AT_ONCE):
         some = units.slice(start, UNITS_AT_ONCE)
         marked = pc.replace_substring(some, " ", MARKER).to_numpy(zero_copy_only=False).tolist()
         found = [e.ids for e in tokenizer.encode_batch_fast(marked, add_special_tokens=False)]
+        same = np.ones(len(found), bool)
+        theirs = _library_units(library, some.to_pylist())
+        if theirs != found:
+            same = np.array([a == b for a, b in zip(theirs, found, strict=True)], bool)
+            found = theirs
         ids = [i for own in found for i in own]
         fine = np.ones(len(found), bool)
         if tokenizer.decode(ids, skip_special_tokens=False).encode() != text_bytes(some)[0].tobytes():
@@ -185,8 +208,9 @@ def _encode_units(tokenizer: Tokenizer, units: pa.Array) -> tuple[np.ndarray, np
         flat.append(np.array(ids, np.int32))
         sizes.append(np.array([len(own) for own in found], np.int32))
         sound.append(fine)
+        alike.append(same)
     gc.enable()
-    return np.concatenate(flat), np.concatenate(sizes), np.concatenate(sound)
+    return np.concatenate(flat), np.concatenate(sizes), np.concatenate(sound), np.concatenate(alike)
 
 
 def _loaded(name: str):
@@ -203,8 +227,10 @@ def _loaded(name: str):
     return build_tokenizer(model), sentencepiece.SentencePieceProcessor(model_file=path), model, bytewise, units
 
 
-def _by_units(tokenizer: Tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Flat ids, number of ids per text and whether each text's units decode to themselves."""
+def _by_units(
+    tokenizer: Tokenizer, library, texts: pa.Array
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Flat ids, number of ids per text, whether each text's units decode to themselves and were the library's."""
     data, offsets = text_bytes(texts)
     sizes = np.diff(offsets)
     some = sizes > 0  # a text that isn't empty gets one blank in front
@@ -221,7 +247,7 @@ def _by_units(tokenizer: Tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.nda
     count = len(starts)
     edges = np.append(starts, len(buffer)).astype(np.int32)
     found = pa.StringArray.from_buffers(count, pa.py_buffer(edges), pa.py_buffer(buffer)).dictionary_encode()
-    held, sizes_of, sound = _encode_units(tokenizer, found.dictionary)
+    held, sizes_of, sound, alike = _encode_units(tokenizer, library, found.dictionary)
     starts_of = np.cumsum(sizes_of, dtype=np.int32) - sizes_of
     rows = found.indices.to_numpy()
     text = np.searchsorted(cuts, starts, side="right") - 1
@@ -231,7 +257,8 @@ def _by_units(tokenizer: Tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.nda
     flat = held[places]
     per_text = np.bincount(text, weights=n, minlength=len(texts)).astype(np.int64)
     unsound = np.bincount(text, weights=~sound[rows], minlength=len(texts))
-    return flat, per_text, unsound == 0
+    unlike = np.bincount(text, weights=~alike[rows], minlength=len(texts))
+    return flat, per_text, unsound == 0, unlike == 0
 
 
 def encode(docs: DataFrame, model_path: str, parity_share: int = 64) -> DataFrame:
@@ -239,14 +266,15 @@ def encode(docs: DataFrame, model_path: str, parity_share: int = 64) -> DataFram
 
     Returns doc_id, ids, n_tokens, n_bytes_fallback (ids of single bytes),
     decoded_equal (decoding the ids gives the text again, as the normaliser
-    leaves it) and parity: whether the sentencepiece library yields the same
-    ids.  That is asked for one in ``parity_share`` texts, by a hash of the
-    text, and for all that are encoded whole; null elsewhere.  Where it differs
-    the library's ids are returned.
+    leaves it) and parity: whether the rebuilt tokenizer yields the same ids as
+    the sentencepiece library, which is asked about every text.  Where it
+    differs the library's ids are returned.
 
     Where the model allows, a text is encoded in units that start at runs of
-    blanks: each distinct unit of a group is encoded and decoded once.  Texts with a marker
-    character, and all texts of other models, are encoded whole.
+    blanks: each distinct unit of a group is encoded by both and decoded once.
+    Texts with a marker character, and all texts of other models, are encoded
+    whole by both.  One in ``parity_share`` texts, by a hash of the text, goes to
+    the library whole besides, which tells whether the cut into units holds.
 
     Special pieces in a text are ordinary text.  A null or empty text has no
     ids.  Repeated rows are encoded alike; an empty table gives an empty result.
@@ -264,9 +292,10 @@ def encode(docs: DataFrame, model_path: str, parity_share: int = 64) -> DataFram
                 part = texts.slice(a, b - a)
                 whole = np.ones(b - a, bool)
                 flat, sizes, equal = np.zeros(0, np.int32), np.zeros(b - a, np.int64), np.ones(b - a, bool)
+                same = np.ones(b - a, bool)
                 if units is not None:
                     whole = pc.match_substring(part, MARKER).to_numpy(zero_copy_only=False)
-                    flat, sizes, equal = _by_units(units, pc.if_else(pa.array(whole), "", part))
+                    flat, sizes, equal, same = _by_units(units, library, pc.if_else(pa.array(whole), "", part))
                 ids = np.split(flat, np.cumsum(sizes)[:-1])
                 asked = whole.copy()
                 for i, text in enumerate(part.to_pylist()):
@@ -275,11 +304,12 @@ def encode(docs: DataFrame, model_path: str, parity_share: int = 64) -> DataFram
                         ids[i] = np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
                         back = tokenizer.decode(ids[i].tolist(), skip_special_tokens=False)
                         equal[i] = back == _expected(model, library, text)
-                same: list[bool | None] = [None] * (b - a)
                 for i in np.flatnonzero(asked).tolist():
                     theirs = np.array(library.encode(part[i].as_py()), np.int32)
-                    same[i] = bool(np.array_equal(theirs, ids[i]))
-                    ids[i] = theirs
+                    if not np.array_equal(theirs, ids[i]):
+                        same[i], ids[i] = False, theirs
+                        back = tokenizer.decode(theirs.tolist(), skip_special_tokens=False)
+                        equal[i] = back == _expected(model, library, part[i].as_py())
                 sizes = np.array([len(x) for x in ids], np.int64)
                 flat = np.concatenate(ids).astype(np.int32)
                 cuts = np.concatenate(([0], np.cumsum(sizes)))
@@ -291,7 +321,7 @@ def encode(docs: DataFrame, model_path: str, parity_share: int = 64) -> DataFram
                         pa.array(sizes),
                         pa.array(fallback[cuts[1:]] - fallback[cuts[:-1]], pa.int64()),
                         pa.array(equal),
-                        pa.array(same, pa.bool_()),
+                        pa.array(same),
                     ],
                     ["doc_id", "ids", "n_tokens", "n_bytes_fallback", "decoded_equal", "parity"],
                 )
