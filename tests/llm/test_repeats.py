@@ -28,6 +28,12 @@ def test_repeated_words_of_the_earliest_document_stay(spark):
     assert sorted((r.doc_id or 0, r.n_removed) for r in got.collect()) == [(0, 20), (3, 0), (5, 20), (5, 20)]
 
 
+def test_lone_documents_of_few_words(spark):
+    for count in range(15):
+        rows = [(1, " ".join(f"w{n}" for n in range(count)))]
+        assert h.ordered(remove_repeated_words(h.frame(spark, rows)).collect()) == h.repeated_words(rows, 13)
+
+
 @pytest.mark.parametrize("operator", [remove_repeated_words, repeated_bytes.remove_repeated_bytes, similar_sets.similar_groups])
 def test_empty_tables(spark, operator):
     assert operator(h.frame(spark, [])).collect() == []

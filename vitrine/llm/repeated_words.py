@@ -60,8 +60,10 @@ def remove_repeated_words(docs: DataFrame, window: int = 13, first: int | None =
 
 def _least(prints: np.ndarray, span: int) -> np.ndarray:
     """The least of each ``span`` consecutive values."""
-    count = len(prints) - span + 1
-    out = prints[: max(0, count)].copy()
+    count = max(0, len(prints) - span + 1)
+    out = prints[:count].copy()
+    if not count:
+        return out
     for k in range(1, span):
         np.minimum(out, prints[k : k + count], out=out)
     return out
