@@ -48,6 +48,16 @@ def test_links_states_and_json(spark):
     assert by[3, 1, "x"].errors == ["$: not object"] and by[1, 5, "c"].json == '{"content":"lost","role":"tool","tool_call_id":"c"}'
 
 
+def test_every_result_has_a_row(spark):
+    calls = [call(1, 1, "a"), call(1, 2, "a"), call(1, 3, None)]
+    results = [(1, 2, "a", "one"), (1, 9, "a", "two"), (1, 9, "a", "two"), (1, 4, "c", "x"), (1, 5, "c", "y"),
+               (1, 6, None, "n"), (1, 6, None, "m"), (None, 6, None, "k"), (None, None, None, "l")]
+    rows = linked(spark, calls, results)
+    told = sorted((r.status, json.loads(r.json).get("content") or json.loads(r.json).get("result") or "") for r in rows)
+    assert told == [("linked", "one"), ("linked", "two"), ("linked", "two"), *(("orphan", c) for c in "klmnxy"),
+                    ("repeated", ""), ("unanswered", "")]
+
+
 def test_order(spark):
     calls = [
         call(1, 1, "a", ["b"]), call(1, 3, "b", ["d"]), call(1, 2, "c", ["a"]), call(1, 5, "d"), call(1, 6, "e", ["a"]), call(1, 7, "f", ["zz"]),

@@ -130,7 +130,7 @@ def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
-    """One row per call with its result, place in the order, verdict and canonical JSON, and one per orphan result.
+    """One row per call and result of it, with place in the order, verdict and canonical JSON, and one per orphan result.
 
     ``calls`` has the columns CALLS, ``results`` RESULTS, ``schemas`` name and
     schema (JSON text).  Returns conv_id, call_id, turn, status, after_turn,
@@ -138,7 +138,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
 
     * status is ``linked``, ``unanswered``, ``repeated`` (a later call with the
       id of an earlier one, which keeps the result) or ``orphan`` (a result
-      without a call).  Of several results the first counts.
+      without a call).  A call with several results has a row for each, so that
+      every row of ``results`` has its own, those without an id as well.
     * Rows of a conversation are in topological order by (after_turn,
       after_steps, turn, position): after_turn is the latest turn of the call
       and of all it depends on, after_steps the steps to wait there.  Calls in
@@ -154,18 +155,21 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     held = stored(calls.distinct(), "calls")
     first = held.filter("call_id IS NOT NULL").groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "position")).alias("first"))
     first = stored(first, "first-calls")
-    answered = results.groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "content")).alias("result"))
-    answered = stored(answered, "results")
+    answers = results.select("conv_id", "turn", "call_id", "content", F.lit(True).alias("here"))
     ordered = _ordered(held, first)
     same = "{0}.conv_id <=> {1}.conv_id AND {0}.call_id = {1}.call_id".format
-    rows = (
+    repeated = "f.first IS NOT NULL AND NOT (f.first.turn <=> c.turn AND f.first.position <=> c.position)"
+    marked = (
         held.alias("c")
         .join(first.alias("f"), F.expr(same("c", "f")), "left")
-        .join(answered.alias("r"), F.expr(same("c", "r")), "left")
+        .select("c.*", F.expr(repeated).alias("repeated"))
+    )
+    rows = (
+        marked.alias("c")
+        .join(answers.alias("r"), F.expr(same("c", "r") + " AND NOT c.repeated"), "left")
         .join(ordered.alias("o"), F.expr(same("c", "o")), "left")
         .join(schemas.dropDuplicates(["name"]).alias("s"), F.expr("c.name = s.name"), "left")
     )
-    repeated = F.expr("f.first IS NOT NULL AND (f.first.turn <> c.turn OR f.first.position <> c.position)")
     found = rows.select(
         "c.conv_id",
         "c.call_id",
@@ -173,26 +177,26 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
         "c.position",
         "c.name",
         "c.arguments",
-        F.when(~repeated, F.col("r.result.content")).alias("content"),
-        F.when(repeated, "repeated")
+        "r.content",
+        F.when(F.col("c.repeated"), "repeated")
         .when(F.col("o.circular"), "circular")
-        .when(F.expr("r.result IS NULL"), "unanswered")
+        .when(F.expr("r.here IS NULL"), "unanswered")
         .otherwise("linked")
         .alias("status"),
         F.coalesce("o.after_turn", "c.turn").alias("after_turn"),
         F.coalesce("o.after_steps", F.lit(0)).alias("after_steps"),
         "s.schema",
     )
-    orphans = answered.alias("r").join(first.alias("f"), F.expr(same("r", "f")), "left_anti").select(
+    orphans = answers.alias("r").join(first.alias("f"), F.expr(same("r", "f")), "left_anti").select(
         "conv_id",
         "call_id",
-        "result.turn",
+        "turn",
         F.lit(0).alias("position"),
         F.lit(None).cast("string").alias("name"),
         F.lit(None).cast("string").alias("arguments"),
-        "result.content",
+        "content",
         F.lit("orphan").alias("status"),
-        F.col("result.turn").alias("after_turn"),
+        F.col("turn").alias("after_turn"),
         F.lit(0).alias("after_steps"),
         F.lit(None).cast("string").alias("schema"),
     )
