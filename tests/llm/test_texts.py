@@ -98,6 +98,13 @@ def test_language_of_odd_texts(spark):
     assert identify(h.frame(spark, []), model).count() == 0
 
 
+def test_one_document_with_many_rows_is_learned_once(spark):
+    rows = [(7, "en", f"the words of text {n % 3}") for n in range(300)] + [(n, "en", f"some other words {n}") for n in range(100, 120)]
+    model = train(spark.createDataFrame(rows, "doc_id long, lang string, text string"), sample_rows=30)
+    # a gram that no text has tells how many rows were learned from
+    assert round(math.exp(float(model.weights.max()) - 1) - 1) == 21
+
+
 def test_nothing_to_learn_from(spark):
     assert train(spark.createDataFrame([(1, None, "de"), (2, "a", None)], "doc_id long, text string, lang string")) is None
     row = identify(h.frame(spark, [(1, "abc")]), None).first()

@@ -78,12 +78,13 @@ def _batches(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.
 def train(labelled: DataFrame, sample_rows: int = 4000, clusters: int = 4, leniency: float = 0.4) -> Centroids | None:
     """Centroids from rows with text and lang, or None if there are none with a letter.
 
-    At most ``sample_rows`` rows are used, the same number of each language,
-    taken by a hash of doc_id.  ``leniency`` times the cosine that all but one
+    At most ``sample_rows`` rows are used, the same number of each language and
+    one of each doc_id, taken by a hash of doc_id.  ``leniency`` times the cosine that all but one
     in a hundred of a language's texts reach is the least a text may have.
     """
     rows = labelled.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    ids = rows.select("lang", "doc_id").distinct()
+    counts = {r["lang"]: r["count"] for r in ids.groupBy("lang").count().collect()}
     if not counts:
         return None
     languages = sorted(counts)
@@ -93,12 +94,16 @@ def train(labelled: DataFrame, sample_rows: int = 4000, clusters: int = 4, lenie
     place = (F.xxhash64("doc_id").cast("double") / 2.0**64) + 0.5
     order = Window.partitionBy("lang").orderBy("place", "doc_id")
     chosen = (
-        rows.select("doc_id", "lang", place.alias("place"))
+        rows.select("doc_id", "lang", place.alias("place"), F.xxhash64("text").alias("print"))
         .filter(F.col("place") <= share[F.col("lang")])
+        .groupBy("doc_id", "lang", "place")
+        .agg(F.min("print").alias("print"))
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= each)
     )
-    sample = rows.join(chosen.select("doc_id", "lang").distinct(), ["doc_id", "lang"]).select("doc_id", "lang", "text")
+    key = ["doc_id", "lang", "print"]
+    sample = rows.withColumn("print", F.xxhash64("text")).join(chosen.select(*key), key).dropDuplicates(key)
+    sample = sample.select("doc_id", "lang", "text")
     held = sorted(
         (r.lang, r.doc_id or 0, bytes(r.grams))
         for r in sample.mapInArrow(_log_counts, "doc_id long, lang string, grams binary").collect()
