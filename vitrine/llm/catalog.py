@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import quality_votes
+from vitrine.llm import byte_pairs, quality_votes
 from vitrine.llm.contamination import find_contamination
+from vitrine.llm.fill_middle import fill_in_middle, restored
 from vitrine.llm.language import identify, is_held_out, train
 from vitrine.llm.main_text import extract_main_text
 from vitrine.llm.pieces import encode
@@ -15,6 +16,7 @@ from vitrine.llm.repeated_words import remove_repeated_words
 from vitrine.llm.resampling import resample
 from vitrine.llm.similar_sets import similar_groups
 from vitrine.llm.tool_calls import canonical, link
+from vitrine.llm.turn_repair import digests, repair
 
 
 # A parameter: the tokenizer files are installed beside the library, never in it.
@@ -135,6 +137,69 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return result.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document cut at two line ends, its middle put last; and what it gives when put back."""
+    result = fill_in_middle(_table(spark, folder, "documents"), seed=7, rate=100, suffix_first=50)
+    return result.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("form"), F.col("output")), 256).alias("restored_sha256"),
+    )
+
+
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document, and the bytes they decode to."""
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    result = byte_pairs.encode(_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN, decoded=True)
+    return result.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def _damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with one row in twenty each dropped, emptied, cut off, repeated, or given to the user."""
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"),
+                   F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    role, text = (F.coalesce(name, F.lit(" ")) for name in ("role", "text"))
+    damage = F.crc32(key) % 20
+    return turns.filter(damage != 0).select(
+        "conv_id",
+        "turn",
+        F.when(damage == 4, "user").otherwise(role).alias("role"),
+        F.when(damage == 1, "").when(damage == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.when(damage == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+
+
+def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation, damaged and repaired: its faults, the cheapest edits and a digest of what they leave."""
+    turns = _table(spark, folder, "conversations")
+    repaired = repair(_damaged(turns))
+    found = repaired.conversations.withColumnRenamed("conv_id", "found")
+    lines = digests(repaired.turns).withColumnRenamed("conv_id", "kept")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (
+        turns.select("conv_id").distinct()
+        .join(found, F.expr("conv_id <=> found"), "left")
+        .join(lines, F.expr("conv_id <=> kept"), "left")
+        .select(
+            "conv_id",
+            *(F.coalesce(F.col(name).cast("long"), F.lit(0).cast("long")).alias(name) for name in counts),
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -148,9 +213,33 @@ QUERIES = {
         op8_quality_rules,
         op9_tool_calls,
         op10_suffix_dedup,
+        op11_fill_middle,
+        op12_byte_bpe,
+        op13_turn_repair,
     )
 }
 
+
+
+def _edited(state: str, cost: str, letter: str, line: str = "") -> str:
+    """SQL of a state's cost, edits and lines after one more edit."""
+    lines = f"list_append({state}.t, {line})" if line else f"{state}.t"
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {lines}}}"
+
+
+def _least(*states: str) -> str:
+    return f"list_min([{', '.join(states)}])"
+
+
+def _entered(kind: str, name: str, *origins: str) -> str:
+    """SQL of all ways into a state from ``origins`` by keeping a row or giving it the role ``name``."""
+    ways = [_edited(o, f"{cost}", letter, line) for o in origins for cost, letter, line in (
+        (f"extra + CASE WHEN kind = '{kind}' THEN 0 ELSE 1000000000 END", "K", "role || ':' || text"),
+        ("extra + 3", "R", f"'{name}:' || text"),
+    )]
+    return ", ".join(ways)
+
+
 _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
@@ -276,5 +365,99 @@ SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remove
        CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
        sha256(unhex(coalesce(head, '') || substr(x, CAST(2 * coalesce(last, 0) + 1 AS BIGINT)))) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op11_fill_middle": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), draws AS (
+  SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+         CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+  FROM d
+), cuts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM draws
+), parts AS (
+  SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS p, coalesce(array_to_string(u[a + 1:b], ''), '') AS m,
+         coalesce(array_to_string(u[b + 1:n], ''), '') AS s
+  FROM cuts
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+""",
+    "op13_turn_repair": rf"""
+WITH RECURSIVE bytes AS (
+  SELECT list(list_reduce([n] || range(8), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY n) AS t
+  FROM range(256) AS r(n)
+), keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '),
+                                     ''), lambda x: ord(x)) AS k
+  FROM conversations
+), drawn AS (
+  SELECT conv_id, turn, role, text,
+         xor(list_reduce([4294967295] || CAST(k AS BIGINT[]), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS d
+  FROM keyed, bytes
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+         CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM drawn, range(CASE WHEN d = 3 THEN 2 ELSE 1 END) WHERE d <> 0
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id) AS conv,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed
+  FROM damaged
+), judged AS (
+  SELECT *, role[1] AS kind,
+         CASE WHEN trimmed = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(trimmed, '[.!?]$') THEN 'truncated' ELSE '' END AS fault,
+         coalesce(lag(role[1]) OVER (PARTITION BY conv ORDER BY i) || role[1] NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM placed
+), steps AS (
+  SELECT conv, i, role, text, kind,
+         CASE WHEN fault IN ('blank', 'duplicate') THEN 2000000000 WHEN fault = 'truncated' THEN 3 ELSE 0 END AS extra
+  FROM judged
+), costs AS (
+  SELECT conv, CAST(0 AS BIGINT) AS i, {{'c': CAST(0 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])}} AS n,
+         {{'c': CAST(1000000000 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])}} AS s,
+         {{'c': CAST(3 AS BIGINT), 'a': 'I', 't': ['user:']}} AS u,
+         {{'c': CAST(6 AS BIGINT), 'a': 'II', 't': ['user:', 'assistant:']}} AS a
+  FROM (SELECT DISTINCT conv FROM steps)
+  UNION ALL
+  SELECT conv, i, n, s, u, {_least("a", _edited("u", "3", "I", "'assistant:'"))}
+  FROM (
+    SELECT conv, i, n, s, a, {_least("u", *(_edited(o, "3", "I", "'user:'") for o in "nsa"))} AS u
+    FROM (
+      SELECT conv, steps.i, {_edited("n", "4", "D")} AS n,
+             {_least(_edited("s", "4", "D"), _edited("n", "extra + CASE WHEN kind = 's' THEN 0 ELSE 1000000000 END", "K", "role || ':' || text"))} AS s,
+             {_least(_edited("u", "4", "D"), _entered("u", "user", "n", "s", "a"))} AS u,
+             {_least(_edited("a", "4", "D"), _entered("a", "assistant", "u"))} AS a
+      FROM costs JOIN steps USING (conv) WHERE steps.i = costs.i + 1
+    )
+  )
+), counted AS (
+  SELECT conv, any_value(conv_id) AS conv_id, max(i) AS i,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (illegal) AS illegal
+  FROM judged GROUP BY conv
+), repaired AS (
+  SELECT counted.*, {_least("n", "a")} AS best FROM counted JOIN costs USING (conv, i)
+)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(array_to_string(best.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o LEFT JOIN repaired ON o.conv_id IS NOT DISTINCT FROM repaired.conv_id
 """,
 }
