@@ -130,3 +130,14 @@ def test_prefix_tree_connects_what_is_similar():
         assert (max(i, j), min(i, j)) in set(similar)
         got.join(i, j)
     assert {(want.find(i) == want.find(j)) == (got.find(i) == got.find(j)) for i in range(120) for j in range(i)} == {True}
+
+
+@pytest.mark.parametrize("letters", [65, 1024, 2048])
+def test_long_words_of_two_letters_are_told_apart(spark, letters):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(letters))  # Thue-Morse: equal to its complement by polynomials
+    other = one.translate(str.maketrans("ab", "ba"))
+    common = " ".join(f"w{n}" for n in range(12))
+    rows = [(1, f"{common} {one}"), (2, f"{common} {other}"), (3, one), (4, other), (5, one.upper()), (6, f"{common} {one}")]
+    got = remove_repeated_words(h.frame(spark, rows), 13)
+    assert h.ordered((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got.collect()) == h.repeated_words(rows, 13)
+    assert h.ordered(similar_sets.similar_groups(h.frame(spark, rows)).collect()) == h.similar_groups(rows)

@@ -304,6 +304,12 @@ class Encoder:
         return flat, np.diff(ends)
 
 
+def _sent(df: DataFrame, ranks_path: str):
+    """The vocabulary's arrays for all tasks; its class is not sent along, executors may lack this package."""
+    found = build_vocabulary(read_ranks(ranks_path))
+    return df.sparkSession.sparkContext.broadcast((found.data, found.offsets, found.displacements, found.slots))
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, decoded: bool = False) -> DataFrame:
     """Token ids of each row of ``docs`` (doc_id, text; other columns are not read).
 
@@ -317,10 +323,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, decoded: bool = False
     the left.  The vocabulary is bounded by its file and sent to the tasks as a
     whole; texts are handled in blocks of about a megabyte, a longer one alone.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(build_vocabulary(read_ranks(ranks_path)))
+    shared = _sent(docs, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value
+        vocabulary = Vocabulary(*shared.value)
         encoder = Encoder(vocabulary, pattern)
         for batch in batches:
             texts = batch.column(1).fill_null("")
@@ -350,7 +356,7 @@ def _decoded(vocabulary: Vocabulary, flat: np.ndarray, cuts: np.ndarray) -> pa.A
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id and the bytes of rows with doc_id and ids; null ids, and a list without any, give no bytes."""
-    shared = encoded.sparkSession.sparkContext.broadcast(build_vocabulary(read_ranks(ranks_path)))
+    shared = _sent(encoded, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,7 +364,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
             cuts = np.concatenate(([0], np.cumsum([len(ids) for ids in own]))).astype(np.int64)
             flat = np.concatenate([np.zeros(0, np.int32), *own])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), _decoded(shared.value, flat, cuts)], ["doc_id", "decoded"]
+                [batch.column(0).cast(pa.int64()), _decoded(Vocabulary(*shared.value), flat, cuts)], ["doc_id", "decoded"]
             )
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, decoded binary")

@@ -13,6 +13,7 @@ All stages read the documents through one shuffle by part, which Spark reuses.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -129,22 +130,32 @@ def known(table: pa.Table, kind: int) -> np.ndarray:
     return np.sort(entries(table, kind).keys)
 
 
+def tidy(table: pa.Table) -> pa.Table:
+    """Gives the memory that a group's arrays have left behind back to the system; a worker lives on for many groups."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # a C library without it
+    return table
+
+
 def ask(docs: DataFrame, answers: DataFrame | None, sender: Callable, answerer: Callable) -> DataFrame:
     """One round: ``sender(documents, answers)`` per part, then ``answerer(entries)`` per bucket.
 
     Both return row tuples; ``answers`` holds those of the rounds before, None in the first.
     """
     if answers is None:
-        sent = docs.groupBy("part").applyInArrow(lambda table: as_table(sender(table, None), "sent"), SENT)
+        sent = docs.groupBy("part").applyInArrow(lambda table: tidy(as_table(sender(table, None), "sent")), SENT)
     else:
         sent = (
             docs.groupBy("part")
             .cogroup(answers.groupBy("part"))
-            .applyInArrow(lambda table, got: as_table(sender(table, got), "sent"), SENT)
+            .applyInArrow(lambda table, got: tidy(as_table(sender(table, got), "sent")), SENT)
         )
-    return sent.groupBy("bucket").applyInArrow(lambda table: as_table(answerer(table), "answered"), ANSWERED)
+    return sent.groupBy("bucket").applyInArrow(lambda table: tidy(as_table(answerer(table), "answered")), ANSWERED)
 
 
 def finish(docs: DataFrame, answers: DataFrame, last: Callable, schema: str) -> DataFrame:
     """The final round: ``last(documents, answers)`` per part, an Arrow table of ``schema``."""
-    return docs.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(last, schema)
+    return docs.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(lambda table, got: tidy(last(table, got)), schema)

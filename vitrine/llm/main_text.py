@@ -16,7 +16,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -140,10 +139,17 @@ def _close(stack: list[Node], open_tags: Counter[str], tags: set[str], stop: set
 
 def is_hidden(node: Node, in_article: bool) -> bool:
     """Whether an element is by its kind or name no part of an article."""
-    return _is_hidden(node.tag, node.names, node.role, in_article)
+    key = node.tag, node.names, node.role, in_article
+    if key not in _JUDGED:
+        if len(_JUDGED) >= 4096:
+            _JUDGED.clear()
+        _JUDGED[key] = _is_hidden(*key)
+    return _JUDGED[key]
+
+
+_JUDGED: dict[tuple, bool] = {}  # no lru_cache: a function in one doesn't travel to executors by value
 
 
-@lru_cache(4096)
 def _is_hidden(tag: str, names: str, role: str, in_article: bool) -> bool:
     if tag in HIDDEN or role in HIDDEN_ROLES or (tag == "header" and not in_article):
         return True
@@ -221,16 +227,16 @@ _BLANK = np.array([chr(c).isspace() for c in range(0x3002)])
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD1342543DE82EF95
 _HELD_POWERS = 1 << 16
+_HELD: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64, at least ``count`` of each."""
-    return _powers_held() if count <= _HELD_POWERS else _powers_made(count)
-
-
-@lru_cache(1)
-def _powers_held() -> tuple[np.ndarray, np.ndarray]:
-    return _powers_made(_HELD_POWERS)
+    if count > _HELD_POWERS:
+        return _powers_made(count)
+    if not _HELD:
+        _HELD.append(_powers_made(_HELD_POWERS))
+    return _HELD[0]
 
 
 def _powers_made(count: int) -> tuple[np.ndarray, np.ndarray]:

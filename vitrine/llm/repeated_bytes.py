@@ -9,9 +9,9 @@ a row with the same anchor form a segment.  Equal windows have equal anchors.
 * The bytes of their distinct segments are sent, by anchor, to be sorted as
   suffixes (see ``suffixes``); windows next to an equal one are repeats.
 
-An anchor with more than HOT different segments (those of each part added up)
-isn't sorted in one place: the windows of its segments are asked about one by
-one, spread by their own hashes.
+An anchor with more than HOT windows in its different segments (those of each
+part added up) isn't sorted in one place: the windows of its segments are asked
+about one by one, spread by their own hashes.
 """
 
 from __future__ import annotations
@@ -29,9 +29,9 @@ from vitrine.llm.exchange import among, answer, ask, buckets_of, dealt, distinct
 from vitrine.llm.suffixes import Suffixes
 from vitrine.llm.words import BYTE_VALUES, POWERS, blocks, covered, mixed, text_bytes
 
-HOT = 2_000
-SORT_BYTES = 1 << 20
-SORT_WINDOWS = 1 << 17
+HOT = 1 << 15
+SORT_BYTES = 1 << 19
+SORT_WINDOWS = 1 << 16
 _RESULT = (
     T.StructType()
     .add("doc_id", "long")
@@ -42,7 +42,7 @@ _RESULT = (
 ANCHORS, SEGMENTS, SPANS, WINDOWS = range(4)
 _UNIFORM, _MIXED, _HOT = 1, 2, 3
 _REPEATED, _SINGLE, _SENDER = 1, 2, 3
-_ANCHOR = np.dtype([("print", np.uint64), ("check", np.uint32), ("kinds", np.uint32), ("several", np.uint8)])
+_ANCHOR = np.dtype([("print", np.uint64), ("check", np.uint32), ("kinds", np.uint32), ("windows", np.uint32), ("several", np.uint8)])
 _COUNT = np.dtype([("check", np.uint32), ("several", np.uint8)])
 _SEGMENT = np.dtype(
     [
@@ -212,6 +212,8 @@ def _anchors(length: int, gram: int, buckets: int):
         notes = np.empty(len(first), _ANCHOR)
         notes["print"], notes["check"] = prints[first], checks[first]
         notes["kinds"] = np.add.reduceat(other, first, dtype=np.int64)
+        windows = np.where(other, own.last[order] - own.first[order] + 1, 0)
+        notes["windows"] = np.minimum(np.add.reduceat(windows, first), np.iinfo(np.uint32).max)
         notes["several"] = np.diff(np.append(first, len(order))) > 1
         yield from send(part, ANCHORS, anchor[first], notes, buckets)
 
@@ -221,10 +223,10 @@ def _anchors(length: int, gram: int, buckets: int):
         if not len(first):
             return
         notes = sent.notes[order]
-        kinds = np.add.reduceat(notes["kinds"].astype(np.int64), first)
+        windows = np.add.reduceat(notes["windows"].astype(np.int64), first)
         differs = _differs(first, last, notes["print"], notes["check"])
         differs |= np.maximum.reduceat(notes["kinds"], first) > 1
-        verdict = np.where(differs, np.where(kinds > HOT, _HOT, _MIXED), _UNIFORM)
+        verdict = np.where(differs, np.where(windows > HOT, _HOT, _MIXED), _UNIFORM)
         verdict[(last - first < 2) & (np.maximum.reduceat(notes["several"], first) == 0)] = 0
         out = np.empty(len(order), np.uint8)
         out[order] = np.repeat(verdict, last - first)

@@ -2,18 +2,21 @@
 
 Texts are handled as the UTF-8 bytes Arrow already holds.  A word is a maximal
 run of word bytes; its fingerprint is a polynomial in its bytes modulo 2**64,
-taken from running sums so that no Python string is made.
+taken from running sums so that no Python string is made.  Long words, for which
+such polynomials coincide if they are made for it, get one of BLAKE2b instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 18
+LONG_WORD = 64
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _STEP = np.uint64(_MULTIPLIER)
 
@@ -125,6 +128,10 @@ def find_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower:
     sums = np.zeros(size + 1, np.uint64)
     np.cumsum(values[data[:size]] * up[:size], out=sums[1:])
     prints = mixed((sums[ends] - sums[starts]) * down[starts])
+    for k in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        word = data[starts[k] : ends[k]]
+        digest = blake2b((LOWERED[word] if lower else word).tobytes(), digest_size=8).digest()
+        prints[k] = int.from_bytes(digest, "little")
     text = np.searchsorted(offsets, starts, side="right") - 1
     return Words(starts, ends, text, prints)
 
