@@ -160,6 +160,15 @@ def _spherical_clusters(vectors: np.ndarray, clusters: int, rounds: int = 15) ->
     return centroids, np.argmax(vectors @ centroids.T, axis=1)
 
 
+def _sent(docs: DataFrame, model: Centroids | None):
+    """The model's parts for all tasks; its class is not sent along, executors may lack this package."""
+    return docs.sparkSession.sparkContext.broadcast(model and tuple(vars(model).values()))
+
+
+def _received(held) -> Centroids | None:
+    return held.value and Centroids(*held.value)
+
+
 def identify(docs: DataFrame, model: Centroids | None) -> DataFrame:
     """Language, cosine and rejection of each row of ``docs`` (doc_id, text; other columns are not read).
 
@@ -169,11 +178,11 @@ def identify(docs: DataFrame, model: Centroids | None) -> DataFrame:
     if that is below what the centroid asks for.  Ties go to the language that
     sorts first.  Repeated rows are judged alike; an empty table gives none.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = _sent(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, lang, score, far in _judged(batch, 1, held.value):
+            for a, b, lang, score, far in _judged(batch, 1, _received(held)):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a).cast(pa.int64()),
@@ -189,12 +198,12 @@ def identify(docs: DataFrame, model: Centroids | None) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Centroids | None) -> DataFrame:
     """The rows of ``docs``, with all their columns, that ``identify`` doesn't reject."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = _sent(docs, model)
     column = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, _, _, far in _judged(batch, column, held.value):
+            for a, b, _, _, far in _judged(batch, column, _received(held)):
                 yield batch.slice(a, b - a).filter(pa.array(~far))
 
     return docs.mapInArrow(run, docs.schema)
