@@ -7,11 +7,8 @@ from pyspark.sql import functions as F
 
 from vitrine.catalog.sql import OBS, OBS_ONLY, STAGED, corr, half_up, mean, money, quantile, rounded, share, volume_units
 from vitrine.plans import daily_run, marts
-from vitrine.plans.facts import facts
-from vitrine.plans.staging import staged
 from vitrine.session import scratch_folder
 from vitrine.sources.sales_tables import observations, raw_products
-from vitrine.sources.tables import materialise_table
 
 
 _MEASURES = ["product_id", "price", "discount_pct", "rating", "num_ratings", "free_shipping"]
@@ -81,14 +78,10 @@ def observation_union(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def row_count_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of every layer, each stored before it is counted."""
-    raw = raw_products(spark, folder)
+    """Rows of every layer, counted while it is stored."""
     history = observations(spark, folder).filter("seed_flag")
     home = scratch_folder(spark, "layers")
-    raw = materialise_table(raw, f"{home}/raw")
-    stage = materialise_table(staged(raw), f"{home}/stg_products")
-    fact = materialise_table(facts(stage), f"{home}/fct_products")
-    return daily_run.layers(raw, stage, fact, daily_run.stored_marts(fact, stage, history, home)).audit()
+    return daily_run.rebuild(spark, raw_products(spark, folder), history, home, at_once=8).audit()
 
 
 QUERIES = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -38,6 +38,17 @@ class MarketFilter:
             chosen = chosen & F.col("brand").isin(self.brands)
         return chosen
 
+    def rows_of(self, facts: DataFrame) -> DataFrame:
+        """The selected rows of ``facts``; of stored facts only the folders since the cutoff are opened.
+
+        The instant alone says nothing about the folders, which go by the
+        collection date, so the cutoff is put to both.
+        """
+        chosen = facts.filter(self.predicate())
+        if "collection_date" in facts.columns:
+            chosen = chosen.filter(F.col("collection_date") >= F.lit(self.cutoff))
+        return chosen
+
     def of_brands(self, brand: Column) -> Column:
         """Brand choice alone, for reports that apply it after their limit."""
         return brand.isin(self.brands) if self.brands else F.lit(True)

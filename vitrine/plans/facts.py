@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.functions.labels import bucket_end, bucket_start, price_segment
 from vitrine.operators.keyed import merge_on_key
 from vitrine.schemas import FACT_COLUMNS, KEY, missing_fields
-from vitrine.sources.tables import exists
+from vitrine.sources.tables import exists, folder_names, remove
 
 
 def value_score(rating: Column, num_ratings: Column, price: Column) -> Column:
@@ -58,47 +60,77 @@ def upserted(loaded: DataFrame, candidates: DataFrame, keys: list[str] = KEY) ->
 
 
 def loads_path(path: str) -> str:
-    """Beside the fact table: one row per finished load, with the latest instant it holds."""
+    """Beside the fact table: what each finished load has written, a row per collection date."""
     return f"{path}_loads"
 
 
 def finished_loads(spark: SparkSession, path: str) -> DataFrame:
+    """(load, base, collection_date, rows, watermark); a load with ``base`` holds all that was loaded before it."""
     return spark.read.option("recursiveFileLookup", True).parquet(loads_path(path))
 
 
-def write_facts(df: DataFrame, path: str, load: int = 0) -> None:
-    """Adds ``df`` as one load, and then the load's row to the table of loads.
+def current_loads(spark: SparkSession, path: str) -> DataFrame:
+    """The loads that make up the table: the last base and those after it."""
+    loads = finished_loads(spark, path)
+    bases = loads.filter("base").agg(F.coalesce(F.max("load"), F.lit(-1)).alias("from_load"))
+    return loads.join(bases).filter(F.col("load") >= F.col("from_load")).drop("from_load")
+
+
+def write_facts(df: DataFrame, path: str, load: int = 0, base: bool = False) -> None:
+    """Adds ``df`` as one load, and then the load's rows to the table of loads.
 
-    Each load has folders of its own below its collection dates, so that no
-    file that is read is ever replaced; a load that was broken off isn't listed
-    and is replaced by the next try.  The rebalance hint lets adaptive execution
-    split a heavy date over many files and pack small ones together.
+    Each load has a folder of its own with its collection dates below, so that
+    no file that is read is ever replaced; a load that was broken off isn't
+    listed and is replaced by the next try.  Its line in the table of loads is
+    one file, which a reader sees in whole or not at all.
+
+    The rebalance hint lets adaptive execution split a heavy date over many
+    files and pack small ones together.  Within a file the rows go by brand and
+    price, so that the bounds of a row group say something about either, and
+    Bloom filters tell which files have a product.
     """
     lacking = missing_fields(df.schema, FACT_COLUMNS)
     if lacking:
         raise ValueError(f"facts lack {', '.join(lacking)}")
+    target = f"{path}/load={load}"
     (
-        df.withColumn("load", F.lit(load).cast("bigint"))
-        .hint("rebalance", "collection_date")
+        df.hint("rebalance", "collection_date")
+        .sortWithinPartitions("collection_date", "brand", "price")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("collection_date", "load")
-        .parquet(path)
+        .option("partitionOverwriteMode", "static")
+        .option("parquet.bloom.filter.enabled#product_id", "true")
+        .partitionBy("collection_date")
+        .parquet(target)
     )
-    written = df.sparkSession.read.schema(df.withColumn("load", F.lit(0).cast("bigint")).schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(target)
     (
-        written.filter(F.col("load") == load)
-        .agg(F.max("collected_at").alias("watermark"))
-        .withColumn("load", F.lit(load).cast("bigint"))
+        written.groupBy("collection_date")
+        .agg(F.count(F.lit(1)).alias("rows"), F.max("collected_at").alias("watermark"))
+        .select(F.lit(load).cast("bigint").alias("load"), F.lit(base).alias("base"), "collection_date", "rows", "watermark")
+        .coalesce(1)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .parquet(f"{loads_path(path)}/{load:012d}")
     )
 
 
-def read_facts(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of all finished loads."""
-    done = finished_loads(spark, path).select("load")
-    return spark.read.parquet(path).join(done, "load", "left_semi").select(*FACT_COLUMNS)
+def read_facts(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
+    """The rows of the current loads, from the collection date ``since`` on if it is given.
+
+    Their folders are taken from the table of loads, so the fact tree is not
+    listed; a filter on ``collection_date`` prunes them further.
+    """
+    loads = current_loads(spark, path)
+    if since is not None:
+        loads = loads.filter(F.col("collection_date") >= F.lit(since))
+    folders = [
+        f"{path}/load={row.load}/collection_date={row.collection_date}"
+        for row in loads.select("load", "collection_date").collect()
+    ]
+    if not folders:  # of the right shape, without a row
+        some = finished_loads(spark, path).select("load").first()
+        return spark.read.parquet(f"{path}/load={some.load}").select(*FACT_COLUMNS).limit(0)
+    return spark.read.option("basePath", path).parquet(*folders).select(*FACT_COLUMNS)
 
 
 def upsert_facts(spark: SparkSession, path: str, candidates: DataFrame) -> None:
@@ -110,5 +142,31 @@ def upsert_facts(spark: SparkSession, path: str, candidates: DataFrame) -> None:
         write_facts(candidates, path)
         return
     loads = finished_loads(spark, path)
-    last = loads.agg(F.max("load")).first()[0]
-    write_facts(newer_rows(candidates, loads.select(F.col("watermark").alias("collected_at"))), path, last + 1)
+    done = loads.select(F.col("watermark").alias("collected_at"))
+    write_facts(newer_rows(candidates, done), path, next_load(spark, path))
+
+
+def next_load(spark: SparkSession, path: str) -> int:
+    """Loads are numbered by their lines in the table of loads, those without a row included."""
+    folders = [int(name) for name in folder_names(spark, loads_path(path))]
+    return max(folders, default=-1) + 1
+
+
+def compact_facts(spark: SparkSession, path: str) -> None:
+    """Writes the current loads anew as one, the base of those to come.
+
+    Readers go on with the old loads until its line is in the table of loads
+    and with the new one from then on; the old files stay for those who have
+    begun to read them, until ``remove_replaced``.
+    """
+    write_facts(read_facts(spark, path), path, next_load(spark, path), base=True)
+
+
+def remove_replaced(spark: SparkSession, path: str) -> list[int]:
+    """Deletes the folders of loads before the last base, and returns their numbers.  Their lines stay."""
+    kept = current_loads(spark, path).agg(F.min("load")).first()[0]
+    numbers = [int(name.removeprefix("load=")) for name in folder_names(spark, path) if name.startswith("load=")]
+    old = sorted(n for n in numbers if kept is not None and n < kept)
+    for number in old:
+        remove(spark, f"{path}/load={number}")
+    return old

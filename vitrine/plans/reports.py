@@ -35,7 +35,7 @@ def brand_list(facts: DataFrame) -> DataFrame:
 
 def filtered_kpis(facts: DataFrame, chosen: MarketFilter) -> DataFrame:
     """One row of headline figures, with the gap between mean and median price."""
-    rows = facts.filter(chosen.predicate())
+    rows = chosen.rows_of(facts)
     totals = rows.agg(
         F.count(F.lit(1)).alias("total"),
         mean(F.col("price"), PRICE_SCALE, 2).alias("avg_price"),
@@ -54,7 +54,7 @@ def filtered_kpis(facts: DataFrame, chosen: MarketFilter) -> DataFrame:
 
 def filtered_histogram(facts: DataFrame, chosen: MarketFilter) -> DataFrame:
     buckets = (
-        facts.filter(chosen.predicate())
+        chosen.rows_of(facts)
         .groupBy(
             F.col("price_bucket_500_start").alias("bucket_start"), F.col("price_bucket_500_end").alias("bucket_end")
         )
@@ -74,7 +74,7 @@ def peak_bucket(histogram: DataFrame) -> DataFrame:
 
 
 def filtered_condition_mix(facts: DataFrame, chosen: MarketFilter) -> DataFrame:
-    rows = facts.filter(chosen.predicate())
+    rows = chosen.rows_of(facts)
     totals = rows.groupBy("condition").agg(
         F.count(F.lit(1)).alias("total"), mean(F.col("price"), PRICE_SCALE, 2).alias("avg_price")
     )
@@ -93,7 +93,7 @@ def filtered_condition_mix(facts: DataFrame, chosen: MarketFilter) -> DataFrame:
 def filtered_shipping_mix(facts: DataFrame, chosen: MarketFilter) -> DataFrame:
     of_condition = F.sum("total").over(Window.partitionBy("condition"))
     return (
-        facts.filter(chosen.predicate())
+        chosen.rows_of(facts)
         .groupBy("condition", "free_shipping")
         .agg(F.count(F.lit(1)).alias("total"))
         .withColumn("pct_within_condition", share(F.col("total"), of_condition, 1))
@@ -102,7 +102,7 @@ def filtered_shipping_mix(facts: DataFrame, chosen: MarketFilter) -> DataFrame:
 
 
 def filtered_shipping_price(facts: DataFrame, chosen: MarketFilter) -> DataFrame:
-    rows = facts.filter(chosen.predicate())
+    rows = chosen.rows_of(facts)
     totals = rows.groupBy("free_shipping").agg(
         mean(F.col("price"), PRICE_SCALE, 2).alias("avg_price"), F.count(F.lit(1)).alias("total")
     )
@@ -116,7 +116,7 @@ def filtered_shipping_price(facts: DataFrame, chosen: MarketFilter) -> DataFrame
 
 def group_gaps(facts: DataFrame, chosen: MarketFilter) -> DataFrame:
     """One row: mean against median, new against used, free against paid shipping."""
-    rows = facts.filter(chosen.predicate())
+    rows = chosen.rows_of(facts)
 
     def avg_price(group: Column) -> Column:
         return mean(F.when(group, F.col("price")), PRICE_SCALE, 2)
@@ -150,7 +150,7 @@ def top_brands(facts: DataFrame, chosen: MarketFilter, limit: int = 10) -> DataF
     """Brands by number of reviews.  Rows without a brand form their own group,
     shown under the same name as a brand called so would be, but not merged."""
     return (
-        facts.filter(chosen.predicate())
+        chosen.rows_of(facts)
         .groupBy(F.col("brand").alias("stated_brand"))
         .agg(
             F.count(F.lit(1)).alias("total_produtos"),
@@ -168,7 +168,7 @@ def top_brands(facts: DataFrame, chosen: MarketFilter, limit: int = 10) -> DataF
 
 
 def _discounted(facts: DataFrame, chosen: MarketFilter) -> DataFrame:
-    return facts.filter(chosen.predicate()).filter("discount_pct is not null and num_ratings > 0")
+    return chosen.rows_of(facts).filter("discount_pct is not null and num_ratings > 0")
 
 
 def discount_scatter(facts: DataFrame, chosen: MarketFilter, limit: int = 500) -> DataFrame:

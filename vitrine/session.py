@@ -22,6 +22,7 @@ def build_session(name: str = "vitrine", master: str | None = None, **conf: str)
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
+        "spark.scheduler.mode": "FAIR",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.parquet.filterPushdown": "true",

@@ -19,6 +19,13 @@ def remove(spark: SparkSession, path: str) -> None:
     location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    below = location.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(location)
+    return [status.getPath().getName() for status in below if status.isDirectory()]
+
+
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
     """The history seed: CSV with header and declared types."""
     return spark.read.schema(SEED).option("header", True).csv(path)
