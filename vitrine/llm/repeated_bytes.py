@@ -167,7 +167,8 @@ def segments_of(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -
         prints = mixed(mixed((sums[end] - sums[first]) * down[first]) ^ shape)
         others = _sums(_CHECK_VALUES, piece)
         checks = (mixed((others[end] - others[first]) * down[first]) >> np.uint64(32)).astype(np.uint32)
-        found.append((grams[at[first]], first + start, last + start, at[first] + start, prints, checks))
+        # mixed once more: the least of many hashes are small, and buckets are ranges of equal width
+        found.append((mixed(grams[at[first]]), first + start, last + start, at[first] + start, prints, checks))
     if not found:
         empty = np.zeros(0, np.int64)
         return Segments(empty.astype(np.uint64), empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint32))

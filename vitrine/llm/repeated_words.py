@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from vitrine.llm.exchange import among, answer, ask, buckets_of, dealt, distinct, entries, finish, known, send
-from vitrine.llm.words import BLANK_SEPARATED, blocks, covered, find_words, text_bytes, windows
+from vitrine.llm.words import BLANK_SEPARATED, blocks, covered, find_words, mixed, text_bytes, windows
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_text string"
 _SCHEMA = pa.schema(
@@ -59,14 +59,14 @@ def remove_repeated_words(docs: DataFrame, window: int = 13, first: int | None =
 
 
 def _least(prints: np.ndarray, span: int) -> np.ndarray:
-    """The least of each ``span`` consecutive values."""
+    """The least of each ``span`` consecutive values, mixed once more: buckets are even ranges, least values small."""
     count = max(0, len(prints) - span + 1)
     out = prints[:count].copy()
     if not count:
         return out
     for k in range(1, span):
         np.minimum(out, prints[k : k + count], out=out)
-    return out
+    return mixed(out)
 
 
 def _candidates(words, lengths: list[int], n: int, window: int, got: pa.Table | None, answered: list[np.ndarray]):
