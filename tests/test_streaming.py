@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_messages import GOOD
-from vitrine.schemas import LANDED, MESSAGE
+from vitrine.schemas import LANDED, MESSAGE, RECORD
 from vitrine.sources import messages as msg
-from vitrine.streaming import ingest
+from vitrine.streaming import ingest, publish
 from vitrine.streaming.drain import drain
 from vitrine.streaming.windows import compact_windows, daily_prices, hourly_counts, start_window_table, window_table
 
@@ -39,9 +39,9 @@ class Ingest:
         return self.read() - before
 
     def read(self):
-        if not os.path.exists(f"{self.raw}_reads"):
+        if not os.path.exists(f"{self.raw}_totals"):
             return 0
-        return ingest.lag(self.spark, self.landing, self.raw, self.dead).first().read
+        return ingest.lag(self.spark, self.landing, self.raw).first().read
 
     def stored(self):
         return sorted((r.product_id or "", r.ingestion_id) for r in ingest.raw_table(self.spark, self.raw).collect())
@@ -63,11 +63,11 @@ def test_replay_restart_and_poison(spark, folder):
     assert p.stored() == [("", "n1"), ("a", "a1"), ("a", "a3"), ("b", "b1")]
     assert p.refused() == [("bad", "payload is not a JSON object"), ("txt", "wrong type for: price")]
     assert p.run() == 0
-    totals = [tuple(r) for r in ingest.load_totals(spark, p.raw, p.dead).collect()]
+    totals = [tuple(r) for r in ingest.load_totals(spark, p.raw).collect()]
     assert totals == [(0, 4, 2, 1), (1, 3, 2, 0), (2, 2, 0, 1)]
-    assert tuple(ingest.lag(spark, p.landing, p.raw, p.dead).first()) == (9, 9, 0, 4, 2, 3)
+    assert tuple(ingest.lag(spark, p.landing, p.raw).first()) == (9, 9, 0, 4, 2, 3)
     land(p.landing, "4.json", [("c1", product("c"))])
-    assert ingest.lag(spark, p.landing, p.raw, p.dead).first().pending == 1
+    assert ingest.lag(spark, p.landing, p.raw).first().pending == 1
     row = ingest.raw_table(spark, p.raw).filter("ingestion_id = 'a1'").first()
     assert json.loads(row.raw_payload) == GOOD["raw_payload"] and row.inserted_at is not None
 
@@ -208,3 +208,80 @@ def test_drain_gives_up(spark, folder):
     with pytest.raises(TimeoutError):
         drain(query, 3)
     assert not query.isActive
+
+
+# --- publishing
+
+
+class Outbox:
+    """Records in files, published by a stream."""
+
+    def __init__(self, spark, folder):
+        self.spark = spark
+        self.records, self.sent, self.unsent, self.checkpoint = (
+            f"{folder}/{n}" for n in ("records", "sent", "unsent", "checkpoint")
+        )
+
+    def write(self, *rows):
+        records = [json.dumps({**product(name), "ingestion_id": name, **change}) for name, change in rows]
+        lines = self.spark.createDataFrame([(r,) for r in records], "value string")
+        lines.select(F.from_json("value", RECORD).alias("r")).select("r.*").coalesce(1).write.mode("append").parquet(self.records)
+
+    def run(self):
+        stream = self.spark.readStream.schema(RECORD).option("maxFilesPerTrigger", 1).parquet(self.records)
+        for query in publish.start_publish(stream, self.sent, self.unsent, self.checkpoint):
+            drain(query)
+
+    def ids(self):
+        return sorted(r.ingestion_id for r in publish.sent_messages(self.spark, self.sent).collect())
+
+    def refused(self):
+        return sorted((r.ingestion_id, r.error) for r in publish.refused_records(self.spark, self.unsent).collect())
+
+
+def test_a_restarted_publisher_repeats_no_message(spark, folder):
+    box = Outbox(spark, folder)
+    box.write(("a", {}), ("b", {}), ("x", {"source": None}))
+    box.write(("c", {}), ("y", {"batch_id": None, "collected_at": None}))
+    box.run()
+    refused = [("x", "no value for: source"), ("y", "no value for: batch_id, collected_at")]
+    assert box.ids() == ["a", "b", "c"] and box.refused() == refused
+    # broken off after the sink had its last batch and before the query noted it
+    for kind in ("sent", "refused"):
+        commits = f"{box.checkpoint}/{kind}/commits"
+        for name in os.listdir(commits):
+            if name.lstrip(".").startswith("1"):
+                os.remove(f"{commits}/{name}")
+    # and files of an attempt that the sink never noted
+    part = next(n for n in os.listdir(box.sent) if n.startswith("part-"))
+    with open(f"{box.sent}/{part}", "rb") as whole, open(f"{box.sent}/part-99999-stray.json", "wb") as stray:
+        stray.write(whole.read())
+    box.write(("d", {}))
+    box.run()
+    assert box.ids() == ["a", "b", "c", "d"] and box.refused() == refused
+    box.run()
+    assert box.ids() == ["a", "b", "c", "d"]
+    messages = publish.sent_messages(spark, box.sent).collect()
+    assert len({r.message_id for r in messages}) == 4 and all(r.message_id.endswith(f"-{r.ingestion_id}") for r in messages)
+    # the ingest goes by the sink's log too
+    raw, dead = f"{folder}/raw", f"{folder}/dead"
+    drain(ingest.start_ingest(ingest.message_stream(spark, box.sent), raw, dead, f"{folder}/taken"))
+    assert tuple(ingest.load_totals(spark, raw).agg(F.sum("messages"), F.sum("inserted"), F.sum("refused")).first()) == (4, 4, 0)
+    assert ingest.dead_letter_table(spark, dead).count() == 0
+
+
+def test_publishing_needs_all_fields(spark, folder):
+    stream = spark.readStream.schema("price double").parquet(spark.range(1).selectExpr("1.0D AS price").write.parquet(folder + "/r") or folder + "/r")
+    with pytest.raises(ValueError, match="records lack"):
+        publish.start_publish(stream, f"{folder}/s", f"{folder}/u", f"{folder}/c")
+
+
+def test_totals_outlive_the_query_and_a_retried_batch(spark, folder):
+    p = Ingest(spark, folder)
+    land(p.landing, "1.json", [("a1", product("a")), ("bad", "{bad")])
+    land(p.landing, "2.json", [("b1", product("b")), ("b2", product("b"))])
+    p.run()
+    batch = spark.read.schema(LANDED).json(f"{p.landing}/2.json")
+    ingest.load_batch(batch, 1, p.raw, p.dead)  # the second try of a batch that was broken off after its writes
+    assert [tuple(r) for r in ingest.load_totals(spark, p.raw).collect()] == [(0, 2, 1, 1), (1, 2, 1, 0)]
+    assert p.stored() == [("a", "a1"), ("b", "b1")]

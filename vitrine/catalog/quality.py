@@ -10,9 +10,7 @@ from vitrine.operators import quality as q
 from vitrine.plans.facts import facts
 from vitrine.plans.staging import staged
 from vitrine.schemas import CONDITIONS, KEY, SOURCE_NAME
-from vitrine.session import scratch_folder
 from vitrine.sources.sales_tables import raw_products
-from vitrine.sources.tables import materialise_table
 
 
 def dq_discount_range(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,10 +49,9 @@ def dq_accepted_values(spark: SparkSession, folder: str) -> DataFrame:
 
 def dq_report(spark: SparkSession, folder: str) -> DataFrame:
     """All 25 rules: the staging rules on raw rows, the others on the cleaned layers."""
-    home = scratch_folder(spark, "rules")
-    raw = materialise_table(raw_products(spark, folder), f"{home}/raw")
-    fact = materialise_table(facts(staged(raw)), f"{home}/facts")
-    return q.rule_report(raw, fact, materialise_table(brand_dimension(spark, folder), f"{home}/brands"))
+    raw = raw_products(spark, folder)
+    fact = facts(staged(raw))
+    return q.rule_report(raw, fact, brand_dimension(spark, folder))
 
 
 def dq_run_status(spark: SparkSession, folder: str) -> DataFrame:
