@@ -5,7 +5,7 @@ import random
 import pytest
 
 from tests.llm import helpers as h
-from vitrine.llm import repeated_bytes, similar_sets, words
+from vitrine.llm import exchange, repeated_bytes, similar_sets, words
 from vitrine.llm.prefix_tree import PrefixTree, least_overlap
 from vitrine.llm.repeated_words import levels, remove_repeated_words
 
@@ -68,6 +68,18 @@ def test_repeated_bytes(spark, monkeypatch, seed, length, gram, hot):
     assert result(repeated_bytes.remove_repeated_bytes(df, length, gram)) == h.repeated_bytes(rows, length)
 
 
+@pytest.mark.parametrize("bucket_bytes", [1, 500])
+def test_any_number_of_buckets(spark, monkeypatch, bucket_bytes):
+    monkeypatch.setattr(exchange, "BUCKET_BYTES", bucket_bytes)
+    rows = byte_rows(5)
+    df = h.frame(spark, rows)
+    assert exchange.buckets_of(df) > 1
+    assert result(repeated_bytes.remove_repeated_bytes(df, 12, 5)) == h.repeated_bytes(rows, 12)
+    texts = h.odd_rows()
+    got = remove_repeated_words(h.frame(spark, texts), 4)
+    assert h.ordered(got.collect()) == h.repeated_words(texts, 4)
+
+
 def test_long_texts_come_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(repeated_bytes, "_PIECE", 50)
     monkeypatch.setattr(words, "BLOCK_BYTES", 40)

@@ -31,6 +31,7 @@ _ARROW = {
         ("answered", ["part", "kind", "keys", "notes"]),
     )
 }
+BUCKET_BYTES = 8 << 20
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -39,7 +40,12 @@ def parts_of(df: DataFrame) -> int:
 
 
 def buckets_of(df: DataFrame) -> int:
-    return max(1, parts_of(df) // 2)
+    """One bucket to each shuffle partition, fewer for a small input: a row goes from each part to each bucket.
+
+    The input's size is Spark's own estimate, the size of its files for a table.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return max(1, min(parts_of(df) // 2, -(-size // BUCKET_BYTES)))
 
 
 def dealt(docs: DataFrame, *columns: str) -> DataFrame:
