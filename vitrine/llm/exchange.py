@@ -44,7 +44,7 @@ def buckets_of(df: DataFrame) -> int:
 
     The input's size is Spark's own estimate, the size of its files for a table.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return max(1, min(parts_of(df) // 2, -(-size // BUCKET_BYTES)))
 
 
