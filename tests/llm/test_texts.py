@@ -1,9 +1,12 @@
 """Contamination, language, quality, resampling and token ids."""
 
+import itertools
 import math
 import re
+import string
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -12,6 +15,7 @@ from tests.llm import helpers as h
 from vitrine.llm import contamination, pieces, quality_votes, resampling
 from vitrine.llm.catalog import PIECE_MODEL
 from vitrine.llm.language import accepted, identify, is_held_out, train
+from vitrine.llm.words import text_bytes
 
 # --- contamination
 
@@ -202,6 +206,42 @@ def test_resampling_counts_and_weights(spark):
     assert resampling.resample(h.frame(spark, []), target).count() == 0
 
 
+def test_resampling_weights_against_plain_python(spark):
+    words = ["tree", "Sea", "salt", "wind", "é", "x" * 50, "stone"]
+    texts = {n: " ".join(words[(n * k * k + k) % (3 + n % 5)] for k in range(n * n % 700)) for n in range(40)}
+    texts[90] = " ".join(words[k * k % 7] for k in range(60_000))
+    target = {n: t for n, t in texts.items() if n % 3 == 0}
+
+    def grams(text):
+        said = [w.translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase)) for w in text.split()]
+        return said + [f"{a} {b}" for a, b in itertools.pairwise(said)]
+
+    # a gram's bucket, asked of the operator for the gram by itself; the last bucket given is that of the whole gram
+    known = sorted({g for t in texts.values() for g in grams(t)})
+    data, cuts = text_bytes(pa.array(known))
+    text, bucket = resampling._buckets(data, cuts)
+    place = {known[t]: int(b) for t, b in zip(text, bucket, strict=True)}
+
+    def model(chosen):
+        counts = [1.0] * (1 << resampling.BUCKET_BITS)
+        for t in chosen:
+            for g in grams(t):
+                counts[place[g]] += 1
+        total = math.fsum(counts)
+        return [c / total for c in counts]
+
+    good, raw = model(target.values()), model(texts.values())
+    docs, chosen = h.frame(spark, list(texts.items())), h.frame(spark, list(target.items()))
+    whole = {r.doc_id: r for r in resampling.importance(docs, chosen).collect()}
+    tempered = {r.doc_id: r.log_weight for r in resampling.importance(docs, chosen, length=10).collect()}
+    for n, t in texts.items():
+        ratios = [math.log(good[place[g]] / raw[place[g]]) for g in grams(t)]
+        assert whole[n].n_grams == len(ratios)
+        assert whole[n].log_weight == pytest.approx(math.fsum(ratios), rel=1e-6, abs=1e-6)
+        mean = math.fsum(ratios) / max(len(ratios), 1) * min(len(ratios), 10)
+        assert tempered[n] == pytest.approx(mean, rel=1e-6, abs=1e-6)
+
+
 def test_equal_keys_go_by_id(spark):
     keyed = spark.createDataFrame([(n, 1.0) for n in range(50)] + [(None, 1.0)], "doc_id long, key double")
     assert resampling._last_selected(keyed, 20) == (1.0, 19)

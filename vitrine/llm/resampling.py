@@ -57,12 +57,14 @@ def _log_model(texts: DataFrame, smoothing: float) -> np.ndarray:
     return np.log(counts / counts.sum())
 
 
-def importance(docs: DataFrame, target: DataFrame, length: int = 100, smoothing: float = 1.0) -> DataFrame:
+def importance(docs: DataFrame, target: DataFrame, length: int | None = None, smoothing: float = 1.0) -> DataFrame:
     """doc_id, n_grams and log_weight of each row of ``docs``.
 
-    The weight is the mean log ratio of a text's grams, times ``length`` or the
-    number of its grams, whichever is less, so that long texts aren't decided by
-    their length.  A text without words has weight 0.
+    The weight is the log of how much likelier the whole text is under the
+    target's model than under the raw one: the sum over all its grams.  With
+    ``length`` it is tempered: the mean over the grams times at most ``length``,
+    for texts that shouldn't be decided by their length.  A text without words
+    has weight 0.
     """
     ratio = _log_model(target, smoothing) - _log_model(docs, smoothing)
     held = docs.sparkSession.sparkContext.broadcast(ratio)
@@ -74,9 +76,10 @@ def importance(docs: DataFrame, target: DataFrame, length: int = 100, smoothing:
                 text, bucket = _buckets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 n = np.bincount(text, minlength=b - a)
                 total = np.bincount(text, weights=held.value[bucket], minlength=b - a)
-                weight = total / np.maximum(n, 1) * np.minimum(n, length)
+                if length is not None:
+                    total = total / np.maximum(n, 1) * np.minimum(n, length)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(n), pa.array(weight)],
+                    [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(n), pa.array(total)],
                     ["doc_id", "n_grams", "log_weight"],
                 )
 
@@ -90,7 +93,7 @@ def gumbel(seed: int):
 
 
 def resample(
-    docs: DataFrame, target: DataFrame, share: float = 0.8, seed: int = 7, length: int = 100
+    docs: DataFrame, target: DataFrame, share: float = 0.8, seed: int = 7, length: int | None = None
 ) -> DataFrame:
     """Draws ``share`` of the rows of ``docs`` without replacement, by their importance for ``target``.
 
@@ -101,7 +104,7 @@ def resample(
     repeated rows may exceed the share.  A null or empty text weighs as one
     nobody favours; a null doc_id has noise of its own and comes last in ties.
     Without target texts all weights are 0 but for the raw model's smoothing.
-    An empty table gives an empty result.
+    Very long texts are weighed whole.  An empty table gives an empty result.
     """
     keyed = stored(importance(docs, target, length).withColumn("key", F.col("log_weight") + gumbel(seed)), "keys")
     wanted = round(share * keyed.count())
