@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrine.catalog import loading, marts, parsing, quality, reports, store, streams
+from vitrine.catalog import loading, marts, parsing, quality, reports, sql_users, store, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = [marts, parsing, loading, reports, store, quality, streams]
+_MODULES = [marts, parsing, loading, reports, store, quality, sql_users, streams]
 
 
 def _registered(query: Query) -> Query:
