@@ -7,11 +7,11 @@ from vitrine.schemas import SEED
 DAYS = 6
 # product, title, brand, first price, daily step, original, rating, first ratings, volume text, offers
 PRODUCTS = [
-    ("LOJA-A", "Celular Motorola Edge 90", "Motorola", 1200, -30, 1500, 4.2, 100, "Mais de 300 compras", 2),
-    ("LOJA-B", "Celular Samsung Nota 7", "Samsung", 2400, -12, 2600, 4.7, 900, "Mais de 2 mil compras", 1),
-    ("LOJA-C", "Celular Xiaomi Verde", "Xiaomi", 640, 0, 700, 4.0, 1000, "Mais de 700 compras", 4),
-    ("LOJA-D", "Celular Apple Nove", "Apple", 4000, 40, 4800, 4.5, 2000, "Mais de 3,5 mil compras", 1),
-    ("LOJA-E", "Celular Samsung Nota 3", "Samsung", 980, -1, 1100, 4.1, 300, "", 1),
+    ("LOJA-C", "Celular Cedro Verde", "Cedro", 640, 0, 700, 4.0, 1000, "Mais de 700 compras", 4),
+    ("LOJA-E", "Celular Boreal Nota 3", "Boreal", 980, -1, 1100, 4.1, 300, "", 1),
+    ("LOJA-B", "Celular Boreal Nota 7", "Boreal", 2400, -12, 2600, 4.7, 900, "Mais de 2 mil compras", 1),
+    ("LOJA-D", "Celular Duna Nove", "Duna", 4000, 40, 4800, 4.5, 2000, "Mais de 3,5 mil compras", 1),
+    ("LOJA-A", "Celular Aurora Lince", "Aurora", 1200, -30, 1500, 4.2, 100, "Mais de 300 compras", 2),
 ]
 
 
@@ -26,8 +26,8 @@ def rows():
                 "condition": "new", "url": f"https://example.com/item/{product}", "thumbnail_url": "",
                 "price": f"{now}.00", "original_price": f"{original}.00",
                 "discount_pct": f"{(original - now) / original * 100:.2f}", "currency": "BRL", "rating": rating,
-                "num_ratings": ratings + day, "is_best_seller": "false", "is_amazon_choice": str(n == 0).lower(),
-                "is_prime": str(n in (1, 3)).lower(), "free_shipping": "true", "delivery_text": "Entrega GRÁTIS",
+                "num_ratings": ratings + day, "is_best_seller": "false", "is_amazon_choice": str(rating > 4.4).lower(),
+                "is_prime": str(offers == 1).lower(), "free_shipping": "true", "delivery_text": "Entrega GRÁTIS",
                 "sales_volume": volume, "num_offers": offers, "seed_flag": "true",
             }
 

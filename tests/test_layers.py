@@ -176,7 +176,7 @@ def test_overview_of_the_seed(history):
     prices = sorted(float(r["price"]) for r in seed.rows())
     assert float(row.avg_price) == round(sum(prices) / 30 + 1e-9, 2)
     assert (row.total_free_shipping, row.pct_free_shipping) == (30, D("100.00"))
-    assert (row.total_prime, row.total_amazon_choice, row.total_best_sellers) == (12, 6, 0)
+    assert (row.total_prime, row.total_amazon_choice, row.total_best_sellers) == (18, 12, 0)
 
 
 def test_overview_of_nothing_is_one_row(history):
@@ -210,17 +210,17 @@ def test_brands_of_the_seed(history):
     nameless = history.filter("product_id = 'LOJA-C'").withColumn("brand", F.lit(None).cast("string"))
     rows = marts.brand_dimension(history.unionByName(nameless.withColumn("sales_volume", F.lit("")))).collect()
     got = {r.brand: r for r in rows}
-    samsung = got["Samsung"]
-    assert (samsung.total_products, samsung.total_observations, samsung.total_sales_volume_units) == (2, 12, 12000)
-    assert samsung.avg_sales_volume_units == 2000
-    assert got["Apple"].total_sales_volume_units == 21000 and got["Apple"].rank_by_sales_volume == 1
-    assert got["Xiaomi"].stddev_price == 0
+    boreal = got["Boreal"]
+    assert (boreal.total_products, boreal.total_observations, boreal.total_sales_volume_units) == (2, 12, 12000)
+    assert boreal.avg_sales_volume_units == 2000
+    assert got["Duna"].total_sales_volume_units == 21000 and got["Duna"].rank_by_sales_volume == 1
+    assert got["Cedro"].stddev_price == 0
     unknown = got["Sem marca identificada"]
-    assert unknown.total_sales_volume_units is None and unknown.total_reviews == got["Xiaomi"].total_reviews
+    assert unknown.total_sales_volume_units is None and unknown.total_reviews == got["Cedro"].total_reviews
     # 6015 reviews stand in for the unknown volume: behind 12000 units, ahead of 4200
-    assert (samsung.rank_by_sales_volume, unknown.rank_by_sales_volume, got["Xiaomi"].rank_by_sales_volume) == (2, 3, 4)
+    assert (boreal.rank_by_sales_volume, unknown.rank_by_sales_volume, got["Cedro"].rank_by_sales_volume) == (2, 3, 4)
     reviews = sum(2000 + n for n in range(6))
-    assert got["Apple"].competitiveness_score == round(D("4.50") * reviews / D("4100"), 4)
+    assert got["Duna"].competitiveness_score == round(D("4.50") * reviews / D("4100"), 4)
     assert [r.rank_by_sales_volume for r in rows] == sorted(r.rank_by_sales_volume for r in rows)
 
 
@@ -256,12 +256,12 @@ def test_reports_on_the_seed(history):
     assert moves.count() == 4
     trend = reports.trend_summary(moves).first()
     assert (trend.total, trend.falling, trend.rising, trend.flat) == (4, 2, 0, 2)
-    assert trend.biggest_fall_pct == D("-12.50") and trend.biggest_faller.startswith("Celular Motorola")
-    only = MarketFilter(date(2025, 11, 20), period_days=30, brands=["Samsung"])
+    assert trend.biggest_fall_pct == D("-12.50") and trend.biggest_faller.startswith("Celular Aurora")
+    only = MarketFilter(date(2025, 11, 20), period_days=30, brands=["Boreal"])
     assert [r.brand for r in reports.top_price_moves(marts.price_variation(history), live, only, limit=1).collect()] == []
     peak = reports.peak_bucket(reports.filtered_histogram(live, everything)).first()
     assert (peak.bucket_start, peak.total) == (500, 12)
-    assert [r.brand for r in reports.brand_list(live).collect()] == ["Apple", "Motorola", "Samsung", "Xiaomi"]
+    assert [r.brand for r in reports.brand_list(live).collect()] == ["Aurora", "Boreal", "Cedro", "Duna"]
     gaps = reports.group_gaps(live, everything).first()
     assert gaps.new_vs_used is None and gaps.free_vs_paid_direction is None and gaps.free_shipping_count == 30
 
