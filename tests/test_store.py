@@ -3,10 +3,13 @@
 import threading
 from datetime import date
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tests.test_layers import day, raw_rows
+from tools.check_oracles import TABLES, compare
+from vitrine.catalog import oracles
 from vitrine.operators.filters import MarketFilter
 from vitrine.plans import reports as rep
 from vitrine.plans.facts import (
@@ -14,6 +17,7 @@ from vitrine.plans.facts import (
 )
 from vitrine.plans.graph import Model, ModelsFailed, build_models
 from vitrine.plans.staging import staged
+from vitrine.schemas import FACTS
 
 
 def some_facts(spark, *days):
@@ -90,6 +94,49 @@ def test_a_compaction_broken_off_is_not_read(spark, folder):
     assert products(read_facts(spark, path)) == ["p1", "p2"]
 
 
+def kinds(schema):
+    return [(f.name, f.dataType) for f in schema]
+
+
+def test_a_store_whose_loads_have_no_row(spark, folder):
+    path, nothing = f"{folder}/facts", some_facts(spark, 1).filter("product_id is null")
+    write_facts(nothing, path)
+    upsert_facts(spark, path, nothing)
+    chosen = MarketFilter(as_of=date(2024, 1, 5), period_days=1)
+    empty = read_facts(spark, path, since=chosen.cutoff)
+    assert empty.collect() == [] and kinds(empty.schema) == kinds(FACTS)
+    assert rep.filtered_kpis(empty, chosen).collect() == rep.filtered_kpis(nothing, chosen).collect()
+    compact_facts(spark, path)
+    assert read_facts(spark, path).collect() == []
+    upsert_facts(spark, path, some_facts(spark, 4))
+    assert products(read_facts(spark, path)) == ["p4"] and kinds(read_facts(spark, path).schema) == kinds(FACTS)
+
+
+@pytest.mark.parametrize("name", ["filtered_from_store", "fact_snapshots"])
+def test_stored_queries_without_a_sale(spark, small, folder, name):
+    for table in TABLES:
+        rows = spark.read.parquet(f"{small}/{table}.parquet")
+        (rows.limit(0) if table == "lineitem" else rows).write.parquet(f"{folder}/{table}.parquet")
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(f"create view {table} as select * from '{folder}/{table}.parquet/*.parquet'")
+    fine, text = compare(spark, con, folder, name, oracles()[name])
+    assert fine, text
+
+
+def test_bloom_filters_are_as_big_as_their_products_need(spark, folder):
+    rows = raw_rows(spark, *(day(1, product_id=f"x{n}") for n in range(900)), day(2))
+    write_facts(facts(staged(rows)), f"{folder}/facts")
+    files = f"{folder}/facts/load=0/*/*.parquet"
+    sizes = duckdb.sql(
+        f"select num_values, bloom_filter_length from parquet_metadata('{files}') "
+        "where path_in_schema = 'product_id' order by 1"
+    ).fetchall()
+    assert [n for n, _ in sizes] == [1, 900] and all(1000 < size < 5000 for _, size in sizes)
+    told = duckdb.sql(f"select bloom_filter_excludes from parquet_bloom_probe('{files}', 'product_id', 'x7')").fetchall()
+    assert sorted(told) == [(False,), (True,)]
+
+
 # --- models
 
 
