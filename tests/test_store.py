@@ -1,6 +1,7 @@
 """Stored facts: pruning, the log of loads, compaction; and the graph of models."""
 
 import threading
+import time
 from datetime import date
 
 import duckdb
@@ -18,6 +19,7 @@ from vitrine.plans.facts import (
 from vitrine.plans.graph import Model, ModelsFailed, build_models
 from vitrine.plans.staging import staged
 from vitrine.schemas import FACTS
+from vitrine.sources import tables
 
 
 def some_facts(spark, *days):
@@ -137,6 +139,64 @@ def test_bloom_filters_are_as_big_as_their_products_need(spark, folder):
     assert sorted(told) == [(False,), (True,)]
 
 
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for n in range(found.size()) if (name := found.apply(n).getName()).startswith("shuffle_")}
+
+
+def lasting_shuffle_files(spark, before):
+    for _ in range(50):  # they are removed in the background
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    return left
+
+
+def in_slices(monkeypatch, count):
+    monkeypatch.setattr(tables, "SLICE_BYTES", 1)
+    monkeypatch.setattr(tables, "MOST_SLICES", count)
+
+
+def test_a_load_in_slices_leaves_no_shuffle_file(spark, folder, monkeypatch):
+    days = [day(n, product_id=f"p{m}") for n in range(1, 8) for m in range(3)]
+    raw_rows(spark, *days, day(4, product_id="p1"), day(9, product_id=None)).write.parquet(f"{folder}/raw")
+    rows = facts(staged(spark.read.parquet(f"{folder}/raw")))
+    expected = sorted(map(str, rows.collect()))
+    in_slices(monkeypatch, 3)
+    before, setting = shuffle_files(spark), spark.conf.get(tables._CLEAN_UP)
+    write_facts(rows, f"{folder}/facts")
+    assert lasting_shuffle_files(spark, before) == set() and spark.conf.get(tables._CLEAN_UP) == setting
+    stored = read_facts(spark, f"{folder}/facts")
+    assert sorted(map(str, stored.collect())) == expected and len(stored.inputFiles()) == 7
+    counted = finished_loads(spark, f"{folder}/facts").orderBy("collection_date").collect()
+    assert [(r["load"], r["rows"]) for r in counted] == [(0, 3)] * 7
+    kinds = duckdb.sql(f"select distinct compression from parquet_metadata('{folder}/facts/load=0/*/*.parquet')")
+    assert kinds.fetchall() == [("ZSTD",)]
+    # another try of a load replaces all its slices
+    write_facts(rows.filter("product_id = 'p2'"), f"{folder}/facts")
+    assert products(read_facts(spark, f"{folder}/facts")) == ["p2"] * 7
+
+
+def test_slices_are_picked_before_the_shuffle(spark, folder, monkeypatch):
+    raw_rows(spark, *(day(n) for n in range(1, 6))).write.parquet(f"{folder}/raw")
+    rows = facts(staged(spark.read.parquet(f"{folder}/raw")))
+    assert tables.day_slices(rows, F.col("collection_date")) == [rows]  # small input
+    in_slices(monkeypatch, 2)
+    parts = tables.day_slices(rows, F.col("collection_date"))
+    assert sorted(n for part in parts for n in products(part)) == [f"p{n}" for n in range(1, 6)]
+    for part in parts:
+        lines = plan_of(part).splitlines()
+        exchange = next(n for n, line in enumerate(lines) if "Exchange" in line)
+        assert any("pmod" in line and "Filter" in line for line in lines[exchange:])
+
+
+def test_a_row_without_a_date_is_in_one_slice(spark, folder, monkeypatch):
+    spark.sql("select id, if(id % 3 = 0, null, date_add(date'1969-12-25', int(id))) as d from range(20)").write.parquet(folder + "/t")
+    in_slices(monkeypatch, 4)
+    parts = tables.day_slices(spark.read.parquet(folder + "/t"), F.col("d"))
+    assert len(parts) == 4 and sorted(r.id for part in parts for r in part.collect()) == list(range(20))
+
+
 # --- models
 
 
