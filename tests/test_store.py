@@ -243,3 +243,24 @@ def test_a_failed_model_stops_only_what_needs_it(spark, folder):
 def test_models_in_a_circle_are_refused(spark, folder):
     with pytest.raises(ValueError, match="no way to build a, b"):
         build_models(spark, {"a": Model(None, ("b",)), "b": Model(None, ("a",)), "c": Model(None)}, folder)
+
+
+def test_a_model_in_slices_leaves_no_shuffle_file(spark, folder, monkeypatch):
+    rows = [*(day(n, product_id=f"p{m}") for n in range(1, 6) for m in range(4)), day(2, product_id="p1")]
+    raw_rows(spark, *rows).write.parquet(f"{folder}/raw")
+    given = {"raw": spark.read.parquet(f"{folder}/raw")}
+    expected = sorted(map(str, staged(given["raw"]).collect()))
+    in_slices(monkeypatch, 3)
+    before = shuffle_files(spark)
+    models = {
+        "staging": Model(staged, ("raw",), instant="collected_at"),
+        "days": Model(lambda s: s.groupBy("collected_at").count(), ("staging",)),
+    }
+    built = build_models(spark, models, folder, given)
+    assert lasting_shuffle_files(spark, before) == set()
+    assert built.rows == {"staging": 20, "days": 5}
+    assert sorted(map(str, built.tables["staging"].collect())) == expected
+    kinds = duckdb.sql(f"select distinct compression from parquet_metadata('{folder}/staging/*.parquet')")
+    assert kinds.fetchall() == [("ZSTD",)]
+    # built again, the table is replaced, not added to
+    assert build_models(spark, models, folder, given).tables["staging"].count() == 20

@@ -46,6 +46,8 @@ def _of_all(mart: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, Data
     return lambda live, history: mart(marts.all_observations(live, history))
 
 
+STAGING = Model(staged, ("raw",), instant="collected_at")
+
 # The marts that are rebuilt in full.  Most read the facts; the price series and the price
 # variation read staging, so that rows the fact watermark left out still count.
 MARTS = {
@@ -79,7 +81,7 @@ def run(spark: SparkSession, raw: DataFrame, history: DataFrame, home: str, at_o
     The history is stored too, so that no mart derives it again.
     """
     first = build_models(
-        spark, {"stg_products": Model(staged, ("raw",)), "history": Model(lambda: history)}, home, {"raw": raw}, at_once
+        spark, {"stg_products": STAGING, "history": Model(lambda: history)}, home, {"raw": raw}, at_once
     )
     fact_path = f"{home}/fct_products"
     upsert_facts(spark, fact_path, facts(first.tables["stg_products"]))
@@ -94,7 +96,7 @@ def rebuild(spark: SparkSession, raw: DataFrame, history: DataFrame, home: str,
     models = {
         "raw": Model(lambda: raw),
         "history": Model(lambda: history.select(*marts.OBSERVATION_COLUMNS)),
-        "stg_products": Model(staged, ("raw",)),
+        "stg_products": STAGING,
         "fct_products": Model(facts, ("stg_products",)),
         **MARTS,
     }

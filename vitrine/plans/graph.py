@@ -10,15 +10,21 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.sources.tables import COMPRESSION, day_slices, shuffles_dropped
+
 Build = Callable[..., DataFrame]
 
 
 @dataclass(frozen=True)
 class Model:
-    """A table, made of the tables it names, which ``build`` is given in that order."""
+    """A table, made of the tables it names, which ``build`` is given in that order.
+
+    With ``instant``, a timestamp of its rows, it may be written by slices of days.
+    """
 
     build: Build
     needs: tuple[str, ...] = ()
+    instant: str | None = None
 
 
 @dataclass
@@ -47,7 +53,8 @@ def build_models(
     Small tables leave most of a cluster idle while their last tasks run, so
     jobs of several are mixed; each has a pool of its own, which a session with
     the FAIR scheduler serves in turns.  ``given`` are tables that are there.
-    Rows are counted while they are written.  When a model fails, those that
+    Rows are counted while they are written, and what a table shuffled goes when
+    it is stored.  When a model fails, those that
     need it are left out, the others are built, and ModelsFailed tells of it.
     """
     _checked(models, set(given or ()))
@@ -57,13 +64,17 @@ def build_models(
     def store(name: str) -> tuple[DataFrame, int]:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
         model = models[name]
-        counted = Observation()
         table = model.build(*(done.tables[needed] for needed in model.needs))
-        path = f"{home}/{name}"
-        table.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-        return spark.read.schema(table.schema).parquet(path), counted.get["rows"]
-
-    with ThreadPoolExecutor(at_once) as pool:
+        path, rows = f"{home}/{name}", 0
+        slices = day_slices(table, F.to_date(model.instant)) if model.instant else [table]
+        for number, part in enumerate(slices):
+            counted = Observation()
+            part = part.observe(counted, F.count(F.lit(1)).alias("rows"))
+            part.write.mode("append" if number else "overwrite").option("compression", COMPRESSION).parquet(path)
+            rows += counted.get["rows"]
+        return spark.read.schema(table.schema).parquet(path), rows
+
+    with shuffles_dropped(spark), ThreadPoolExecutor(at_once) as pool:
         while waiting or running:
             lost = {*done.failed, *done.skipped}
             for name in [n for n, m in waiting.items() if lost.intersection(m.needs)]:

@@ -52,6 +52,15 @@ def _percentile_prices(rows: DataFrame, keys: list[str], wanted: dict[str, float
     )
 
 
+def _distinct_products(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Distinct products per group, counted by themselves.
+
+    Together with other measures, Spark would first sum all of them up by product,
+    and shuffle about as many wide rows as it has read.
+    """
+    return rows.groupBy(*keys).agg(F.count_distinct("product_id").alias(name))
+
+
 def _avg_price():
     return mean(F.col("price"), PRICE_SCALE, 2)
 
@@ -108,8 +117,8 @@ def condition_distribution(observations: DataFrame) -> DataFrame:
     """New against used: volume, price level and rank by average price."""
     rows = _priced(observations)
     keys = ["condition"]
+    products = _distinct_products(rows, keys, "total_distinct_products")
     totals = rows.groupBy(*keys).agg(
-        F.count_distinct("product_id").alias("total_distinct_products"),
         F.count(F.lit(1)).alias("total_observations"),
         _avg_price().alias("avg_price"),
         F.min("price").alias("min_price"),
@@ -124,7 +133,7 @@ def condition_distribution(observations: DataFrame) -> DataFrame:
     medians = _percentile_prices(rows, keys, {"median_price": 0.5})
     everything = Window.partitionBy()
     return (
-        combine_groups([totals, medians], keys)
+        combine_groups([products, totals, medians], keys)
         .withColumn("pct_of_total", share(F.col("total_observations"), F.sum("total_observations").over(everything)))
         .withColumn("rank_by_avg_price", F.rank().over(Window.orderBy(F.col("avg_price").desc_nulls_first())))
         .select(
@@ -181,17 +190,17 @@ def free_shipping_mix(observations: DataFrame) -> DataFrame:
 
 def price_histogram(observations: DataFrame) -> DataFrame:
     """Observations per price bucket of 500, up to the price cap."""
-    histogram = (
-        observations.filter(f"price > 0 and price <= {PRICE_CAP}")
-        .groupBy(bucket_start(F.col("price")).alias("bucket_start"), bucket_end(F.col("price")).alias("bucket_end"))
-        .agg(
-            F.count_distinct("product_id").alias("total_distinct_products"),
-            F.count(F.lit(1)).alias("total_observations"),
-            _avg_price().alias("avg_price_in_bucket"),
-            F.min("price").alias("min_price_in_bucket"),
-            F.max("price").alias("max_price_in_bucket"),
-        )
+    rows = observations.filter(f"price > 0 and price <= {PRICE_CAP}").withColumns(
+        {"bucket_start": bucket_start(F.col("price")), "bucket_end": bucket_end(F.col("price"))}
+    )
+    keys = ["bucket_start", "bucket_end"]
+    totals = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("total_observations"),
+        _avg_price().alias("avg_price_in_bucket"),
+        F.min("price").alias("min_price_in_bucket"),
+        F.max("price").alias("max_price_in_bucket"),
     )
+    histogram = combine_groups([_distinct_products(rows, keys, "total_distinct_products"), totals], keys)
     return histogram.select(
         "bucket_start",
         "bucket_end",
@@ -350,8 +359,7 @@ def brand_dimension(observations: DataFrame) -> DataFrame:
             "sales_volume_units": parse_sales_volume(F.col("sales_volume")),
         }
     )
-    brands = rows.groupBy("brand").agg(
-        F.count_distinct("product_id").alias("total_products"),
+    totals = rows.groupBy("brand").agg(
         F.count(F.lit(1)).alias("total_observations"),
         F.sum("sales_volume_units").alias("total_sales_volume_units"),
         mean(F.col("sales_volume_units"), 0, 0).alias("avg_sales_volume_units"),
@@ -373,6 +381,7 @@ def brand_dimension(observations: DataFrame) -> DataFrame:
         F.min("collected_at").alias("first_seen_at"),
         F.max("collected_at").alias("last_seen_at"),
     )
+    brands = combine_groups([_distinct_products(rows, ["brand"], "total_products"), totals], ["brand"])
     reviews_by_rating = F.col("avg_rating").cast("decimal(4,2)") * F.col("total_reviews").cast("decimal(15,0)")
     score = F.when(
         (F.col("avg_price") > 0) & (F.col("avg_rating") > 0), F.try_divide(reviews_by_rating, F.col("avg_price"))
