@@ -285,3 +285,41 @@ def test_totals_outlive_the_query_and_a_retried_batch(spark, folder):
     ingest.load_batch(batch, 1, p.raw, p.dead)  # the second try of a batch that was broken off after its writes
     assert [tuple(r) for r in ingest.load_totals(spark, p.raw).collect()] == [(0, 2, 1, 1), (1, 2, 1, 0)]
     assert p.stored() == [("a", "a1"), ("b", "b1")]
+
+
+def messages(spark, *records):
+    rows = [("%04d" % n, i, "b", "s", "t", json.dumps({**p, "ingestion_id": i})) for n, (i, p) in enumerate(records)]
+    return spark.createDataFrame(rows, LANDED)
+
+
+def runs(spark, folder):
+    return ingest._key_runs(spark, f"{folder}/raw_keys")
+
+
+def test_a_batch_opens_a_few_runs_of_keys(spark, folder, monkeypatch):
+    monkeypatch.setattr(ingest, "RUNS", 2)
+    raw, dead = f"{folder}/raw", f"{folder}/dead"
+    for n in range(5):
+        new, none = (f"i{n}", product(f"p{n}")), (f"n{n}", product(None))
+        ingest.load_batch(messages(spark, new, ("again", product("p0", at="2025-02-03T08:15:00")), none), n, raw, dead)
+    assert runs(spark, folder) == [(0, 3), (4, 4)]
+    assert len(ingest.held_keys(spark, raw, 5).inputFiles()) == 2
+    assert [r.inserted for r in ingest.load_totals(spark, raw).collect()] == [2] * 5
+    # the last load once more, then one that was loaded long ago: the raw table tells
+    ingest.load_batch(messages(spark, ("i4", product("p4")), ("x", product("p1"))), 4, raw, dead)
+    assert runs(spark, folder) == [(0, 3), (4, 4)]
+    ingest.load_batch(messages(spark, ("i1", product("p1")), ("x", product("p4"))), 1, raw, dead)
+    ingest.load_batch(messages(spark, ("y", product("p1")), ("z", product("p9"))), 5, raw, dead)
+    stored = sorted(r.ingestion_id for r in ingest.raw_table(spark, raw).collect() if r.product_id)
+    assert stored == ["i0", "i1", "i2", "i3", "i4", "z"]
+
+
+def test_runs_are_made_of_a_raw_table_without_them(spark, folder):
+    raw, dead = f"{folder}/old", f"{folder}/dead"
+    for n in range(2):
+        ingest.load_batch(messages(spark, (f"i{n}", product(f"p{n}"))), n, raw, dead)
+    ingest.compact_raw(spark, raw, f"{folder}/raw")
+    ingest.load_batch(messages(spark, ("x", product("p1")), ("i2", product("p2"))), 2, f"{folder}/raw", dead)
+    assert runs(spark, folder) == [(-1, -1), (2, 2)]
+    stored = sorted(r.ingestion_id for r in ingest.raw_table(spark, f"{folder}/raw").collect())
+    assert stored == ["i0", "i1", "i2"]
